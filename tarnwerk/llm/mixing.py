@@ -15,6 +15,7 @@ from pathlib import Path
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from tarnwerk.functions.scalars import source_key
 
@@ -41,7 +42,7 @@ def count_tokens(df: DataFrame, text: str, tokenizer: str = TOKENIZER, out: str
             b[out] = [len(enc.encode_ordinary(t)) if t else 0 for t in b.pop("_text")]
             yield b
 
-    schema = df.select(*keep).schema.add(out, "bigint")
+    schema = df.select(*keep).schema.add(out, LongType())
     return df.select(*keep, F.col(text).alias("_text")).mapInPandas(count, schema)
 
 

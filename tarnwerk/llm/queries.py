@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnwerk.functions.scalars import source_key
-from tarnwerk.llm import labels, leaks, mixing, pairs
-from tarnwerk.operators.joins import lookup_join
+from tarnwerk.llm import labels, leaks, mixing, pairs, pii
+from tarnwerk.operators.joins import first_delivery, lookup_join
 from tarnwerk.sources.ship import ship
 from tarnwerk.sources.tables import table
 
@@ -23,6 +23,24 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     return p1_found(spark, d).groupBy("answer_field", "defect").agg(F.count(F.lit(1)).alias("answers"))
 
 
+def described(spark: SparkSession, d: str) -> DataFrame:
+    """(table_name, record_id, text): the descriptions of incidents, tasks and audits, each record once."""
+    out = None
+    for name, key in (("incident_view", "incident_id"), ("task_view", "task_id"), ("audit_view", "audit_id")):
+        one = first_delivery(table(spark, d, name), key, ["description"]).select(F.lit(name).alias("table_name"), F.col(key).alias("record_id"), F.col("description").alias("text"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.find_mentions(described(spark, d))
+
+
+def p3_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """The descriptions with every mention replaced by a typed placeholder."""
+    return pii.redact(described(spark, d)).drop("text")
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -89,5 +107,5 @@ def _shipped(f):
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (p1_found, p1_report, p6_found, p6_segments, p8_found, p8_items, p9_found, p9_mix, p9_shares)}
+QUERIES = {f.__name__: _shipped(f) for f in (p1_found, p1_report, p3_found, p3_redacted, p6_found, p6_segments, p8_found, p8_items, p9_found, p9_mix, p9_shares)}
 SQL: dict[str, str] = {}
