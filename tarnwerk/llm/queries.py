@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnwerk.functions.scalars import source_key
-from tarnwerk.llm import labels, leaks, mixing, pairs, pii
+from tarnwerk.llm import labels, leaks, mixing, pairs, pii, subjects
 from tarnwerk.operators.joins import first_delivery, lookup_join
 from tarnwerk.sources.ship import ship
 from tarnwerk.sources.tables import table
@@ -74,6 +74,16 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.reached(mixing.realise(sized, shares, "doc_id"), shares)
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return subjects.find_subjects(table(spark, d, "documents"), table(spark, d, "subject_areas"), table(spark, d, "subject_labels"))
+
+
+def p10_composition(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and their share of the corpus by subject."""
+    n = table(spark, d, "documents").agg(F.count(F.lit(1)).alias("all"))
+    return p10_found(spark, d).groupBy("subject_code").agg(F.count(F.lit(1)).alias("documents")).crossJoin(F.broadcast(n)).select("subject_code", "documents", (F.col("documents") / F.col("all")).alias("share"))
+
+
 def _places(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "location_view").where(F.col("location_id").isNotNull()).groupBy(F.col("location_id").cast("string").alias("place")).agg(F.min("locale_code").alias("locale"))
 
@@ -107,5 +117,5 @@ def _shipped(f):
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (p1_found, p1_report, p3_found, p3_redacted, p6_found, p6_segments, p8_found, p8_items, p9_found, p9_mix, p9_shares)}
+QUERIES = {f.__name__: _shipped(f) for f in (p1_found, p1_report, p3_found, p3_redacted, p6_found, p6_segments, p8_found, p8_items, p9_found, p9_mix, p9_shares, p10_found, p10_composition)}
 SQL: dict[str, str] = {}
