@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnwerk.functions.scalars import source_key
-from tarnwerk.llm import labels, leaks, mixing, pairs, pii, subjects
+from tarnwerk.llm import clusters, labels, leaks, mixing, pairs, pii, subjects
 from tarnwerk.operators.joins import first_delivery, lookup_join
 from tarnwerk.sources.ship import ship
 from tarnwerk.sources.tables import table
@@ -41,6 +41,21 @@ def p3_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact(described(spark, d)).drop("text")
 
 
+def cards(spark: SparkSession, d: str) -> DataFrame:
+    """(incident_id, text): each card once."""
+    rows = table(spark, d, "clustered_records").where(F.col("incident_id").isNotNull())
+    return rows.groupBy("incident_id").agg(F.min("ml_text_early").alias("text"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return clusters.happenings(cards(spark, d), "incident_id", "text").select("incident_id", F.col("first_id").alias("first_incident_id"))
+
+
+def p5_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Every happening with its size and most typical cards."""
+    return clusters.describe(clusters.happenings(cards(spark, d), "incident_id", "text"), "incident_id")
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.find_leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
@@ -117,5 +132,5 @@ def _shipped(f):
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (p1_found, p1_report, p3_found, p3_redacted, p6_found, p6_segments, p8_found, p8_items, p9_found, p9_mix, p9_shares, p10_found, p10_composition)}
+QUERIES = {f.__name__: _shipped(f) for f in (p1_found, p1_report, p3_found, p3_redacted, p5_found, p5_groups, p6_found, p6_segments, p8_found, p8_items, p9_found, p9_mix, p9_shares, p10_found, p10_composition)}
 SQL: dict[str, str] = {}
