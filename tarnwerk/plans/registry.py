@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tarnwerk.plans import problems
+from tarnwerk.plans import events, problems, records, search
 
-_MODULES = (problems,)
+_MODULES = (problems, records, search, events)
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 SQL = {k: s for m in _MODULES for k, s in m.SQL.items()}
