@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 
 from tarnwerk.llm import langid
 from tarnwerk.llm.langid import LANGS, Model
-from tarnwerk.llm.text import sentences, words
-from tarnwerk.operators.joins import lookup_join
+from tarnwerk.llm.text import sentences
 
 #: Names of languages; those beyond the six name another language.
 NAMES = {
@@ -50,124 +49,110 @@ def label_code(label: str | None) -> str | None:
     return "other" if head in OTHER_NAMES else None
 
 
-def runs(model: Model, text: str, log_prior: np.ndarray) -> list[tuple[int, float, str]]:
-    """Maximal runs of one language: (language, confidence, text), by the best path through the sentences."""
-    parts = sentences(text)
-    scored = [(p, *model.score(p)) for p in parts]
-    scored = [x for x in scored if x[2] > 0]
-    if not scored:
-        return []
-    like = np.array([x[1] for x in scored])
+def runs(like: np.ndarray, log_prior: np.ndarray) -> list[tuple[int, float, int, int]]:
+    """Maximal runs of one language (language, confidence, first row, end row) by the best path through the sentences,
+    rows of log likelihoods."""
+    best = like.argmax(axis=1)
+    if (best == best[0]).all():
+        p = langid.posterior(like.sum(axis=0), log_prior)
+        k = int(p.argmax())
+        return [(k, float(p[k]), 0, len(like))]
     n = len(LANGS)
     move = np.full((n, n), -SWITCH)
     np.fill_diagonal(move, 0.0)
-    best, back = like[0] + log_prior, []
+    at, back = like[0] + log_prior, []
     for row in like[1:]:
-        step = best[:, None] + move
+        step = at[:, None] + move
         back.append(step.argmax(axis=0))
-        best = step.max(axis=0) + row
-    path = [int(best.argmax())]
+        at = step.max(axis=0) + row
+    path = [int(at.argmax())]
     for b in reversed(back):
         path.append(int(b[path[-1]]))
     path.reverse()
-    out = []
-    at = 0
+    out, lo = [], 0
     for k, same in groupby(path):
-        m = len(list(same))
-        p = langid.posterior(like[at : at + m].sum(axis=0), log_prior)
-        out.append((k, float(p[k]), " ".join(x[0] for x in scored[at : at + m])))
-        at += m
+        hi = lo + len(list(same))
+        p = langid.posterior(like[lo:hi].sum(axis=0), log_prior)
+        out.append((k, float(p[k]), lo, hi))
+        lo = hi
     return out
 
 
-def place_priors(rows: DataFrame, model: Model) -> DataFrame:
-    """(place, prior): log P(language | place), smoothed place -> locale -> all.
-
-    Counted over the most likely language of every text. Records without a place get the prior of all; a place without
-    texts that of its locale. One row per place, of which a dimension table bounds the number.
-    """
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("int")
-    def likely(texts: pd.Series) -> pd.Series:
-        return pd.Series([langid.guess(shared.value, t) if t else None for t in texts], dtype="Int32")
-
-    counts = rows.select("place", "locale", likely("text").alias("lang")).where("lang is not null").groupBy("place", "locale", "lang").agg(F.count(F.lit(1)).alias("n"))
-    return counts
-
-
-def smooth(counts: pd.DataFrame) -> tuple[np.ndarray, dict[str, list[float]]]:
-    """The prior of all and of each place from rows (place, locale, lang, n)."""
+def smooth(counts: dict[str, list[tuple[str, int, int]]]) -> tuple[np.ndarray, dict[str, list[float]]]:
+    """The log prior of all and of each place, from counts (name, language, texts) of ``place`` and ``where``, the
+    latter naming place and locale. A place leans on its locale, the locale on all."""
     k = len(LANGS)
+    by: dict[str, dict[str, np.ndarray]] = {"place": {}, "locale": {}}
+    locale_of: dict[str, str] = {}
     top = np.ones(k)
-    for lang, n in zip(counts["lang"], counts["n"]):
+    for name, lang, n in counts.get("where", []):
+        place, locale = name.split("\t", 1)
         top[lang] += n
+        if place:
+            by["place"].setdefault(place, np.zeros(k))[lang] += n
+            locale_of[place] = locale
+        if locale:
+            by["locale"].setdefault(locale, np.zeros(k))[lang] += n
     top /= top.sum()
+    locales = {m: (v + SMOOTHING * top) / (v.sum() + SMOOTHING) for m, v in by["locale"].items()}
+    places = {m: (v + SMOOTHING * locales.get(locale_of[m], top)) / (v.sum() + SMOOTHING) for m, v in by["place"].items()}
+    return np.log(top), {m: np.log(v).tolist() for m, v in places.items()}
 
-    def level(key: str, parent) -> dict:
-        out: dict = {}
-        for name, lang, n in zip(counts[key], counts["lang"], counts["n"]):
-            if name is not None:
-                out.setdefault(name, np.zeros(k))[lang] += n
-        return {name: (v + SMOOTHING * parent(name)) / (v.sum() + SMOOTHING) for name, v in out.items()}
-
-    locales = level("locale", lambda _: top)
-    of = dict(zip(counts["place"], counts["locale"]))
-    places = level("place", lambda p: locales.get(of[p], top))
-    return np.log(top), {p: np.log(v).tolist() for p, v in places.items()}
 
+RUN_SCHEMA = "table_name string, record_id string, label_code string, is_english boolean, seg_no int, lang_code string, confidence double, runs int, words int"
 
-RUN_SCHEMA = "table_name string, record_id string, label string, is_english boolean, seg_no int, lang_code string, confidence double, segment string, runs int, words int"
 
-
-def detect(rows: DataFrame, model: Model | None = None, priors: bool = True) -> DataFrame:
+def detect(rows: DataFrame, model: Model | None = None) -> DataFrame:
     """One row per record and run of one language, with its confidence.
 
     rows: table_name, record_id, text, label, is_english, place, locale. Null, empty and wordless texts give no rows.
-    Very long texts are read whole. The label and the place only weigh in where the text leaves doubt.
+    Very long texts are read whole. The label and the place only weigh in where the text leaves doubt. Two passes over
+    the texts: one counts words per language and languages per place, one finds the runs.
     """
-    model = model or langid.train(rows, "text")
-    flat = np.log(np.full(len(LANGS), 1 / len(LANGS)))
-    top, of_place = flat, {}
-    if priors:
-        counts = place_priors(rows, model)
-        # Aggregated to one row per place and language: the places are a dimension table.
-        top, of_place = smooth(counts.toPandas())
-    shared = rows.sparkSession.sparkContext.broadcast((model, top, of_place))
+    rows = rows.withColumn("where", F.concat(F.coalesce("place", F.lit("")), F.lit("\t"), F.coalesce("locale", F.lit(""))))
+    trained, counts = langid.train(rows, "text", ("where",))
+    shared = rows.sparkSession.sparkContext.broadcast((model or trained, *smooth(counts)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, top, of_place = shared.value
         codes = {c: i for i, c in enumerate(LANGS)}
         known: dict = {}
+        priors: dict = {}
         for b in batches:
+            parts: list[list[str]] = []
+            ends = [0]
+            for t in b["text"]:
+                parts += [langid.spoken(s) for s in sentences(t)]
+                ends.append(len(parts))
+            score, told = model.score_all(parts)
+            size = np.array([len(ws) for ws in parts] or [0])
             out = []
-            for name, rid, text, label, english, place in zip(b["table_name"], b["record_id"], b["text"], b["label"], b["is_english"], b["place"]):
-                if not text:
+            for i, (name, rid, label, english, place) in enumerate(zip(b["table_name"], b["record_id"], b["label"], b["is_english"], b["place"])):
+                lo, hi = ends[i], ends[i + 1]
+                keep = told[lo:hi] > 0
+                if not keep.any():
                     continue
                 if label not in known:
                     known[label] = label_code(label)
-                prior = np.array(of_place.get(place, top)) if of_place else top
                 code = known[label]
-                if code in codes:
-                    said = np.full(len(LANGS), np.log(LABEL_WRONG))
-                    said[codes[code]] = np.log(LABEL_RIGHT)
-                    prior = prior + said
-                found = runs(model, text, prior)
-                n = len(words(text))
-                for i, (k, conf, part) in enumerate(found, 1):
-                    out.append((name, rid, label, english, i, LANGS[k], conf, part, len(found), n))
-            yield pd.DataFrame(out, columns=["table_name", "record_id", "label", "is_english", "seg_no", "lang_code", "confidence", "segment", "runs", "words"])
-
-    return rows.select("table_name", "record_id", "text", "label", "is_english", "place").mapInPandas(run, RUN_SCHEMA)
+                prior = priors.get((place, code))
+                if prior is None:
+                    prior = np.array(of_place.get(place, top))
+                    if code in codes:
+                        said = np.full(len(LANGS), np.log(LABEL_WRONG))
+                        said[codes[code]] = np.log(LABEL_RIGHT)
+                        prior = prior + said
+                    priors[place, code] = prior
+                found = runs(score[lo:hi][keep], prior)
+                n = int(size[lo:hi].sum())
+                out += [(name, rid, code, english, j, LANGS[k], conf, len(found), n) for j, (k, conf, _, _) in enumerate(found, 1)]
+            yield pd.DataFrame(out, columns=["table_name", "record_id", "label_code", "is_english", "seg_no", "lang_code", "confidence", "runs", "words"])
+
+    return rows.select("table_name", "record_id", "text", "label", "is_english", "place").where(F.length("text") > 0).mapInPandas(run, RUN_SCHEMA)
 
 
 def wrong_labels(detected: DataFrame) -> DataFrame:
     """The runs of the records whose label is missing, wrong or contradicted, or that mix languages."""
-    named = F.udf(label_code, "string")
-    labels = detected.select("label").distinct().withColumn("code", named("label"))
-    safe = labels.select(F.coalesce("label", F.lit("\u0000")).alias("_l"), "code")
-    rows = detected.withColumn("_l", F.coalesce("label", F.lit("\u0000"))).where(F.col("words") >= MIN_WORDS)
-    rows = lookup_join(rows, safe, "_l")
-    wrong = F.col("code").isNull() | (F.col("code") != F.col("lang_code"))
+    wrong = F.col("label_code").isNull() | (F.col("label_code") != F.col("lang_code"))
     contrary = F.col("is_english").isNotNull() & (F.col("is_english") != (F.col("lang_code") == "en"))
-    return rows.where((F.col("runs") > 1) | ((F.col("confidence") >= SURE) & (wrong | contrary)))
+    return detected.where((F.col("words") >= MIN_WORDS) & ((F.col("runs") > 1) | ((F.col("confidence") >= SURE) & (wrong | contrary))))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -44,40 +44,71 @@ def grams(word: str) -> list[str]:
 
 
 class Model:
-    """Log likelihoods per language of words and of character n-grams."""
+    """Log likelihoods per language of words and of character n-grams, in one table that grows by the words met."""
+
+    MOST_NEW = 200_000
 
     def __init__(self, word_counts: dict[str, dict[str, int]], gram_counts: dict[str, dict[str, int]]):
-        self.words = _logs(word_counts)
-        self.grams = _logs(gram_counts)
-        self.unseen = np.zeros(len(LANGS))
+        words_, grams_ = _logs(word_counts), _logs(gram_counts)
+        self.index = {w: i for i, w in enumerate(words_, 1)}
+        self.known = len(self.index)
+        self.table = np.zeros((len(words_) + 1024, len(LANGS)))
+        if words_:
+            self.table[1 : len(words_) + 1] = np.array(list(words_.values()))
+        self.grams = grams_
+
+    def _row(self, w: str) -> int:
+        """Table row of a word not met so far: the sum of its n-grams; row 0 where they tell nothing."""
+        parts = [self.grams[g] for g in grams(w[:40]) if g in self.grams]
+        if not parts:
+            row = 0
+        else:
+            row = len(self.index) + 1
+            if row >= len(self.table):
+                self.table = np.vstack([self.table, np.zeros_like(self.table)])
+            # n-grams overlap: together they weigh as much as two words at most
+            self.table[row] = np.sum(parts, axis=0) * min(1.0, 2.0 / len(parts))
+        if row and len(self.index) < self.known + self.MOST_NEW:
+            self.index[w] = row
+        return row
+
+    def score_all(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each list of words the log likelihoods in each language, up to a constant, and the words they rest on."""
+        flat: list[int] = []
+        ends = [0]
+        get = self.index.get
+        for ws in texts:
+            for w in ws:
+                k = get(w)
+                flat.append(self._row(w) if k is None else k)
+            ends.append(len(flat))
+        rows = np.array(flat, dtype=np.int64)
+        sums = np.vstack([np.zeros((1, len(LANGS))), np.cumsum(self.table[rows], axis=0)])
+        told = np.concatenate([[0], np.cumsum(rows > 0)])
+        at = np.array(ends)
+        return sums[at[1:]] - sums[at[:-1]], told[at[1:]] - told[at[:-1]]
 
     def score(self, text: str) -> tuple[np.ndarray, int]:
-        """Log likelihoods of a text in each language, up to a constant, and the number of words they rest on."""
-        total, n = np.zeros(len(LANGS)), 0
-        for w in words(_ADDRESS.sub(" ", text)):
-            if len(w) > 40:
-                w = w[:40]
-            v = self.words.get(w)
-            if v is None:
-                parts = [self.grams[g] for g in grams(w) if g in self.grams]
-                if not parts:
-                    continue
-                # n-grams overlap: together they weigh as much as two words at most
-                v = np.sum(parts, axis=0) * min(1.0, 2.0 / len(parts))
-            total += v
-            n += 1
-        return total, n
+        """The same for one text."""
+        s, n = self.score_all([spoken(text)])
+        return s[0], int(n[0])
+
+
+def spoken(text: str) -> list[str]:
+    """Words in lower case, without those of mail and web addresses, which are in no language."""
+    if "@" in text or "[at]" in text or "(at)" in text or "://" in text or "www." in text:
+        text = _ADDRESS.sub(" ", text)
+    return words(text)
 
 
 def _logs(counts: dict[str, dict[str, int]]) -> dict[str, np.ndarray]:
     totals = np.array([sum(counts.get(c, {}).values()) + 1.0 for c in LANGS])
-    keys = set().union(*[counts.get(c, {}) for c in LANGS]) if counts else set()
+    keys = sorted(set().union(*[counts.get(c, {}) for c in LANGS])) if counts else []
     size = max(1, len(keys))
     out = {}
     for k in keys:
         n = np.array([counts.get(c, {}).get(k, 0) for c in LANGS], dtype=float)
-        p = (n + 0.05) / (totals + 0.05 * size)
-        v = np.log(p)
+        v = np.log((n + 0.05) / (totals + 0.05 * size))
         out[k] = v - v.max()
     return out
 
@@ -87,67 +118,70 @@ def seed_model() -> Model:
     return Model({c: {w: 20 for w in ws} for c, ws in FUNCTION_WORDS.items()}, {})
 
 
+def leading(scores: np.ndarray, margin: float) -> np.ndarray:
+    """Per row the most likely language, -1 where it does not lead by ``margin``."""
+    two = np.sort(scores, axis=1)[:, -2:]
+    return np.where(two[:, 1] - two[:, 0] >= margin, scores.argmax(axis=1), -1)
+
+
 def guess(model: Model, text: str, margin: float = 0.0) -> int | None:
-    """Index of the most likely language, if it leads by ``margin``."""
+    """Index of the most likely language, if it leads by ``margin``; None for a text without evidence."""
     s, n = model.score(text)
-    if not n:
-        return None
-    order = np.argsort(s)
-    return int(order[-1]) if s[order[-1]] - s[order[-2]] >= margin else None
-
-
-def _count(texts: Iterable[str], model: Model, margin: float) -> Iterator[tuple[int, str, str, int]]:
-    ws, gs = [Counter() for _ in LANGS], [Counter() for _ in LANGS]
-    seen: Counter[str] = Counter()
-    for t in texts:
-        if t:
-            seen.update(sentences(t))
-    for s, times in seen.items():
-        k = guess(model, s, margin)
-        if k is not None:
-            for w in words(_ADDRESS.sub(" ", s)):
-                if len(w) <= 40:
-                    ws[k][w] += times
-                    for g in grams(w):
-                        gs[k][g] += times
-    for k in range(len(LANGS)):
-        yield from ((k, "w", w, n) for w, n in ws[k].items())
-        yield from ((k, "g", g, n) for g, n in gs[k].items())
-
-
-def train(texts: DataFrame, column: str, margins: tuple[float, ...] = (10.0, 6.0)) -> Model:
-    """A model of all texts in ``column`` (an action: its bounded counts come to the driver).
-
-    Round one labels the sentences by function words, later rounds by the model so far; sentences whose best language
-    does not lead by the round's margin, in nats, are left out of the counts; the first margin asks for at least two
-    function words. Null and empty texts add nothing; without any text
-    the function words remain. Counting is combined per partition, then summed by key; of each language the
-    MAX_WORDS words and MAX_GRAMS n-grams of most weight are kept.
+    k = int(leading(s[None, :], margin)[0]) if n else -1
+    return None if k < 0 else k
+
+
+def train(texts: DataFrame, column: str, groups: tuple[str, ...] = (), margin: float = 10.0):
+    """A model of all texts in ``column``, with the counts (group, language, texts) of each column in ``groups``: with
+    groups a pair, else the model alone (an action: its bounded counts come to the driver).
+
+    Sentences are labelled by their function words and counted if the best language leads by ``margin`` nats, that is
+    by at least two such words. Null and empty texts add nothing; without any text the function words remain. Words are
+    combined per partition, then summed by key; of each language the MAX_WORDS words of most weight are kept, and the
+    MAX_GRAMS n-grams that these have most. Groups are values of dimension columns.
     """
     model = seed_model()
-    for margin in margins:
-        now = texts.sparkSession.sparkContext.broadcast(model)
-
-        def count(batches: Iterator[pd.DataFrame], now=now, margin=margin) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                rows = list(_count(b["t"], now.value, margin))
-                if rows:
-                    yield pd.DataFrame(rows, columns=["lang", "kind", "item", "n"])
-
-        counts = texts.select(F.col(column).alias("t")).where(F.length("t") > 0).mapInPandas(count, "lang int, kind string, item string, n bigint")
-        best = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
-        kept = counts.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")).where("n > 1").withColumn("r", F.row_number().over(best))
-        kept = kept.where(F.col("r") <= F.when(F.col("kind") == "w", MAX_WORDS).otherwise(MAX_GRAMS)).select("lang", "kind", "item", "n")
-        tables: dict[str, dict[str, dict[str, int]]] = {"w": {}, "g": {}}
-        rows = kept.toPandas()
-        for lang, kind, item, n in rows.itertuples(index=False):
-            tables[kind].setdefault(LANGS[lang], {})[item] = n
-        for c, ws in FUNCTION_WORDS.items():
-            for w in ws:
-                tables["w"].setdefault(c, {}).setdefault(w, 1)
-        model = Model(tables["w"], tables["g"])
-        now.destroy()
-    return model
+    seeds = texts.sparkSession.sparkContext.broadcast(model)
+    keys, many = [F.col(g).cast("string").alias(f"_g{i}") for i, g in enumerate(groups)], len(groups)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ws = [Counter() for _ in LANGS]
+        told: Counter = Counter()
+        for b in batches:
+            parts: list[list[str]] = []
+            ends = [0]
+            for t in b["t"]:
+                parts += [spoken(s) for s in sentences(t)]
+                ends.append(len(parts))
+            s, n = seeds.value.score_all(parts)
+            for k, words_ in zip(leading(s, margin).tolist(), parts):
+                if k >= 0:
+                    ws[k].update(words_)
+            if many:
+                at = np.array(ends)
+                cum = np.vstack([np.zeros((1, len(LANGS))), np.cumsum(s, axis=0)])
+                whole = leading(cum[at[1:]] - cum[at[:-1]], margin).tolist()
+                for k, *g in zip(whole, *[b[f"_g{i}"] for i in range(many)]):
+                    if k >= 0:
+                        told.update((f"g{i}", x, k) for i, x in enumerate(g) if x is not None)
+        rows = [("w", w, k, n) for k in range(len(LANGS)) for w, n in ws[k].items() if len(w) <= 40]
+        yield pd.DataFrame(rows + [(*g, n) for g, n in told.items()], columns=["kind", "item", "lang", "n"])
+
+    counts = texts.select(F.col(column).alias("t"), *keys).where(F.length("t") > 0).mapInPandas(count, "kind string, item string, lang int, n bigint")
+    best = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
+    kept = counts.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")).where("n > 1 or kind != 'w'").withColumn("r", F.row_number().over(best))
+    rows = kept.where((F.col("kind") != "w") | (F.col("r") <= MAX_WORDS)).select("lang", "kind", "item", "n").toPandas()
+    by_word: dict[str, dict[str, int]] = {c: {w: 1 for w in ws} for c, ws in FUNCTION_WORDS.items()}
+    by_gram: dict[str, Counter] = {c: Counter() for c in LANGS}
+    of_words = rows[rows["kind"] == "w"]
+    for lang, item, n in zip(of_words["lang"], of_words["item"], of_words["n"]):
+        by_word[LANGS[lang]][item] = int(n)
+        for g in grams(item):
+            by_gram[LANGS[lang]][g] += int(n)
+    model = Model(by_word, {c: dict(g.most_common(MAX_GRAMS)) for c, g in by_gram.items()})
+    if not groups:
+        return model
+    return model, {g: [(r.item, int(r.lang), int(r.n)) for r in rows[rows["kind"] == f"g{i}"].itertuples()] for i, g in enumerate(groups)}
 
 
 def posterior(log_likelihood: np.ndarray, log_prior: np.ndarray) -> np.ndarray:

@@ -116,7 +116,7 @@ def language_rows(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_segments(spark: SparkSession, d: str) -> DataFrame:
     """Every record's runs with language and confidence."""
-    return labels.detect(language_rows(spark, d)).drop("segment")
+    return labels.detect(language_rows(spark, d))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
