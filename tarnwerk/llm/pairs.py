@@ -219,7 +219,7 @@ def count_ends(texts: list[str]) -> tuple[Counter, Counter]:
     ends, uses = Counter(), Counter()
     for t in texts:
         for s in sentences(t):
-            ws = [re.sub(r"\d+", "0", w) for w in tokens(s)]
+            ws = tokens(re.sub(r"\d+", "0", s))
             ps = [f"{a} {b}" for a, b in zip(ws, ws[1:])]
             uses.update(ps)
             if ps and s.rstrip("\"'»”)]").endswith((".", "!", "?")):
