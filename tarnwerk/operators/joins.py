@@ -38,7 +38,7 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: str, how: str = "left", ro
     if fits(dim, rows):
         return facts.join(F.broadcast(dim), on, how)
     left = facts.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(salts)))
-    right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("bigint"))
+    right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
     return left.join(right, [on, "_salt"], how).drop("_salt")
 
 

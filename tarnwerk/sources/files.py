@@ -30,7 +30,7 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, encoding
     """
     if encoding is None:
         lines = spark.read.format("text").load(path)
-        bad = lines.where(F.col("value").contains("�")).limit(1).count()
+        bad = lines.where(~F.is_valid_utf8("value")).limit(1).count()
         encoding = ENCODINGS[1] if bad else ENCODINGS[0]
     reader = spark.read.option("header", True).option("encoding", encoding).option("sep", delimiter).option("multiLine", True).option("quote", '"').option("escape", '"')
     return (reader.schema(schema) if schema else reader).csv(path)
