@@ -56,7 +56,7 @@ def write_table(df: DataFrame, path: str, formats: Sequence[str] = ("parquet",),
     for kind in formats:
         w = df.write.mode(mode).partitionBy(*partition_by) if partition_by else df.write.mode(mode)
         if kind == "csv":
-            w = w.option("header", True).option("compression", "gzip")
+            w = w.option("header", True).option("compression", "gzip").option("escape", '"')
         target = f"{path}.{kind}"
         w.format(kind).save(target)
         out.append(target)
