@@ -66,7 +66,7 @@ def write_table(df: DataFrame, path: str, formats: Sequence[str] = ("parquet",),
 def write_with_preview(df: DataFrame, path: str, rows: int = 100) -> None:
     """Parquet, and a CSV of the first ``rows`` rows beside it; the preview is read back from what was written."""
     df.write.mode("overwrite").parquet(path)
-    df.sparkSession.read.parquet(path).limit(rows).coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path}.preview")
+    df.sparkSession.read.parquet(path).limit(rows).coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{path}.preview")
 
 
 def write_report(df: DataFrame, path: str) -> dict:

@@ -26,7 +26,7 @@ def test_round_trips(spark, tmp_path):
         got = files.read_table(spark, p).select(F.col("a").cast("int").alias("a"), "b").orderBy("a").collect()
         assert [(r.a, r.b) for r in got] == [(1, "x,\"y\"\nz"), (2, None)], p
     files.write_with_preview(df, str(tmp_path / "p"), 1)
-    assert spark.read.option("header", True).csv(str(tmp_path / "p.preview")).count() == 1
+    assert files.read_csv(spark, str(tmp_path / "p.preview")).count() == 1
 
 
 def test_resume(spark, tmp_path):
