@@ -72,50 +72,61 @@ class Models:
         p_uni = {w: 0.98 * n / total + flat for w, n in uni.items()}
         rel = {h: n / total for h, n in hist.items()}
         weight = {h: r / (r + KAPPA) for h, r in rel.items()}
-        self.word = {w: np.log(p) for w, p in p_uni.items()}
-        self.unknown = np.full(k, math.log(flat))
-        self.back = {h: np.log(1 - v) for h, v in weight.items()}
         pair: dict[tuple[str, str], np.ndarray] = {}
         for i, c in enumerate(counts):
             for g, n in c.items():
                 if not isinstance(g, str):
                     pair.setdefault(g, np.zeros(k))[i] = n
-        self.pair = {g: np.log(weight[g[0]] * n / np.maximum(hist[g[0]], 1e-9) + (1 - weight[g[0]]) * p_uni.get(g[1], np.full(k, flat))) for g, n in pair.items()}
-
-    def gains(self, ws: Sequence[str]) -> np.ndarray:
-        """Of each subject, the nats per token its model saves against the background."""
-        if len(ws) < 3:
-            return np.full(len(self.subjects), -1.0)
-        rows = []
-        for a, b in zip(ws, ws[1:]):
-            v = self.pair.get((a, b))
-            if v is None:
-                v = self.word.get(b, self.unknown)
-                back = self.back.get(a)
-                if back is not None:
-                    v = v + back
-            rows.append(v)
-        s = np.sum(rows, axis=0)
-        return (s[:-1] - s[-1]) / len(rows)
-
-    def counts_of(self, text: str) -> tuple[np.ndarray, list[tuple[list[str], int, float]]]:
-        """Sentences per subject above its threshold, and of each sentence its words, best subject and gain."""
-        n = np.zeros(len(self.subjects), dtype=int)
-        out = []
-        for s in sentences(text):
-            ws = tokens(s)
-            g = self.gains(ws)
-            k = int(g.argmax())
-            if g[k] > self.thresholds[k]:
-                n[k] += 1
-            out.append((ws, k, float(g[k])))
-        return n, out
+        # One table of rows: nothing, an unknown word, words, histories to fall back from, pairs.
+        rows = [np.zeros(k), np.full(k, math.log(flat))]
+        self.word = {w: i for i, w in enumerate(p_uni, 2)}
+        rows += [np.log(p) for p in p_uni.values()]
+        self.back = {h: i for i, h in enumerate(weight, len(rows))}
+        rows += [np.log(1 - v) for v in weight.values()]
+        self.pair = {g: i for i, g in enumerate(pair, len(rows))}
+        rows += [np.log(weight[g[0]] * n / np.maximum(hist[g[0]], 1e-9) + (1 - weight[g[0]]) * p_uni.get(g[1], np.full(k, flat))) for g, n in pair.items()]
+        self.table = np.array(rows)
+
+    def gains(self, sentences_: Sequence[Sequence[str]]) -> np.ndarray:
+        """Of each sentence and subject, the nats per token the subject's model saves against the background; -1 for
+        sentences of under two words."""
+        one: list[int] = []
+        two: list[int] = []
+        ends = [0]
+        pair, word, back = self.pair.get, self.word.get, self.back.get
+        for ws in sentences_:
+            for g in zip(ws, ws[1:]):
+                r = pair(g)
+                if r is None:
+                    one.append(word(g[1], 1))
+                    two.append(back(g[0], 0))
+                else:
+                    one.append(r)
+                    two.append(0)
+            ends.append(len(one))
+        at = np.array(ends)
+        t = self.table[np.array(one, dtype=np.int64)] + self.table[np.array(two, dtype=np.int64)]
+        cum = np.vstack([np.zeros((1, self.table.shape[1])), np.cumsum(t, axis=0)])
+        n = at[1:] - at[:-1]
+        s = (cum[at[1:]] - cum[at[:-1]]) / np.maximum(n, 1)[:, None]
+        return np.where((n >= 2)[:, None], s[:, :-1] - s[:, -1:], -1.0)
+
+    def judge(self, texts: Sequence[str | None]) -> Iterator[tuple[np.ndarray, list[list[str]], np.ndarray, np.ndarray]]:
+        """Of each text: sentences per subject above its threshold, the words of its sentences, and of these the best
+        subject and its gain. All texts are looked up together."""
+        parts = [[tokens(s) for s in sentences(t)] if t else [] for t in texts]
+        g = self.gains([ws for p in parts for ws in p])
+        best = g.argmax(axis=1) if len(g) else np.zeros(0, dtype=int)
+        top = g.max(axis=1) if len(g) else np.zeros(0)
+        hit = top > self.thresholds[best] if len(g) else np.zeros(0, dtype=bool)
+        lo = 0
+        for p in parts:
+            hi = lo + len(p)
+            yield np.bincount(best[lo:hi][hit[lo:hi]], minlength=len(self.subjects)), p, best[lo:hi], top[lo:hi]
+            lo = hi
 
     def subjects_of(self, text: str | None) -> list[str]:
-        if not text:
-            return []
-        n, _ = self.counts_of(text)
-        return [self.subjects[k] for k in np.flatnonzero(n >= MIN_SENTENCES)]
+        return [self.subjects[k] for k in np.flatnonzero(next(iter(self.judge([text])))[0] >= MIN_SENTENCES)]
 
 
 def fit_labelled(subjects: Sequence[str], rows: Sequence[tuple[str, Sequence[str]]], rounds: int = LABELLED_ROUNDS) -> Models:
@@ -136,8 +147,7 @@ def fit_labelled(subjects: Sequence[str], rows: Sequence[tuple[str, Sequence[str
     for r in range(rounds):
         counts = [Counter() for _ in range(len(subjects) + 1)]
         for ss, own in docs:
-            for ws in ss:
-                g = models.gains(ws)
+            for ws, g in zip(ss, models.gains(ss)):
                 k = max(own, key=lambda i: g[i]) if own else -1
                 least = 0.05 if r == 0 else 0.1
                 count_ngrams(ws, counts[k if own and g[k] > least else -1])
@@ -150,8 +160,8 @@ def calibrate(models: Models, rows: Sequence[tuple[str, Sequence[str]]]) -> Mode
     scored = []
     for t, codes in rows:
         if t:
-            best = [(int(g.argmax()), float(g.max())) for g in (models.gains(tokens(s)) for s in sentences(t))]
-            scored.append((best, set(codes)))
+            _, _, best, top = next(iter(models.judge([t])))
+            scored.append((list(zip(best.tolist(), top.tolist())), set(codes)))
     for k, code in enumerate(models.subjects):
         f1 = []
         for x in GRID:
@@ -177,24 +187,30 @@ def _estimate(documents: DataFrame, text: str, models: Models, whole: bool) -> l
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        total = [Counter() for _ in range(len(m.subjects) + 1)]
+        last = len(m.subjects)
+        # Counters by model and by the number of models a sentence is shared among.
+        total: dict[tuple[int, int], tuple[Counter, Counter]] = {}
+
+        def add(k: int, share: int, ws: list[str]) -> None:
+            c = total.get((k, share)) or total.setdefault((k, share), (Counter(), Counter()))
+            c[0].update(ws[1:])
+            c[1].update(zip(ws, ws[1:]))
+
         for b in batches:
-            for t in b["t"]:
-                if not t:
-                    continue
-                n, ss = m.counts_of(t)
-                own = np.flatnonzero(n >= MIN_SENTENCES)
-                for ws, k, g in ss:
-                    if whole:
+            for n, ss, best, top in m.judge(b["t"]):
+                own = np.flatnonzero(n >= MIN_SENTENCES).tolist()
+                if whole:
+                    for ws in ss:
                         for j in own:
-                            count_ngrams(ws, total[j], 1 / len(own))
-                        count_ngrams(ws, total[-1])
-                    else:
-                        count_ngrams(ws, total[k if k in own and g > 0.5 * m.thresholds[k] else -1])
+                            add(j, len(own), ws)
+                        add(last, 1, ws)
+                else:
+                    for ws, k, g in zip(ss, best.tolist(), top.tolist()):
+                        add(k if k in own and g > 0.5 * m.thresholds[k] else last, 1, ws)
             # The counters are handed on before they grow beyond a bound.
-            if sum(map(len, total)) > 400_000:
+            if sum(len(c[1]) for c in total.values()) > 400_000:
                 yield _frame(total)
-                total = [Counter() for _ in range(len(m.subjects) + 1)]
+                total.clear()
         yield _frame(total)
 
     rows = documents.select(F.col(text).alias("t")).where(F.length("t") > 0).mapInPandas(count, "k int, a string, b string, n double")
@@ -206,8 +222,10 @@ def _estimate(documents: DataFrame, text: str, models: Models, whole: bool) -> l
     return out
 
 
-def _frame(total: list[Counter]) -> pd.DataFrame:
-    return pd.DataFrame([(k, None, g, n) if isinstance(g, str) else (k, g[0], g[1], n) for k, c in enumerate(total) for g, n in c.items()], columns=["k", "a", "b", "n"])
+def _frame(total: dict[tuple[int, int], tuple[Counter, Counter]]) -> pd.DataFrame:
+    rows = [(k, None, w, n / share) for (k, share), c in total.items() for w, n in c[0].items()]
+    rows += [(k, g[0], g[1], n / share) for (k, share), c in total.items() for g, n in c[1].items()]
+    return pd.DataFrame(rows, columns=["k", "a", "b", "n"])
 
 
 def labelled_rows(documents: DataFrame, labels: DataFrame, subjects: Sequence[str], limit: int = MAX_LABELLED) -> list[tuple[str, list[str]]]:
@@ -247,7 +265,8 @@ def find_subjects(documents: DataFrame, areas: DataFrame, labels: DataFrame) ->
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(d, s) for d, t in zip(b["doc_id"], b["text"]) for s in shared.value.subjects_of(t)]
+            m = shared.value
+            rows = [(d, m.subjects[k]) for d, (n, *_) in zip(b["doc_id"], m.judge(b["text"])) for k in np.flatnonzero(n >= MIN_SENTENCES)]
             yield pd.DataFrame(rows, columns=["doc_id", "subject_code"])
 
     schema = documents.select("doc_id").schema.add("subject_code", "string")
