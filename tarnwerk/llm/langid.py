@@ -52,6 +52,7 @@ class Model:
         words_, grams_ = _logs(word_counts), _logs(gram_counts)
         self.index = {w: i for i, w in enumerate(words_, 1)}
         self.known = len(self.index)
+        self.free = self.kept = self.known + 1
         self.table = np.zeros((len(words_) + 1024, len(LANGS)))
         if words_:
             self.table[1 : len(words_) + 1] = np.array(list(words_.values()))
@@ -59,17 +60,18 @@ class Model:
 
     def _row(self, w: str) -> int:
         """Table row of a word not met so far: the sum of its n-grams; row 0 where they tell nothing."""
-        parts = [self.grams[g] for g in grams(w[:40]) if g in self.grams]
-        if not parts:
-            row = 0
-        else:
-            row = len(self.index) + 1
+        parts = [self.grams[g] for g in grams(w[:40]) if g in self.grams] if self.grams else []
+        row = 0
+        if parts:
+            row = self.free
+            self.free += 1
             if row >= len(self.table):
                 self.table = np.vstack([self.table, np.zeros_like(self.table)])
             # n-grams overlap: together they weigh as much as two words at most
             self.table[row] = np.sum(parts, axis=0) * min(1.0, 2.0 / len(parts))
-        if row and len(self.index) < self.known + self.MOST_NEW:
+        if len(self.index) < self.known + self.MOST_NEW:
             self.index[w] = row
+            self.kept = self.free
         return row
 
     def score_all(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
@@ -77,10 +79,12 @@ class Model:
         flat: list[int] = []
         ends = [0]
         get = self.index.get
+        self.free = self.kept  # rows of words beyond MOST_NEW last for one call
         for ws in texts:
-            for w in ws:
-                k = get(w)
-                flat.append(self._row(w) if k is None else k)
+            rows_ = [get(w, -1) for w in ws]
+            if -1 in rows_:
+                rows_ = [self._row(w) if k < 0 else k for w, k in zip(ws, rows_)]
+            flat += rows_
             ends.append(len(flat))
         rows = np.array(flat, dtype=np.int64)
         sums = np.vstack([np.zeros((1, len(LANGS))), np.cumsum(self.table[rows], axis=0)])

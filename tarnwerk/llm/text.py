@@ -8,8 +8,8 @@ import unicodedata
 
 _TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)\b[^<>]{0,300}>")
 _BREAKS = {"br", "p", "div", "li", "ul", "ol", "tr", "td", "h1", "h2", "h3", "h4"}
-#: A sentence ends at punctuation before a space, at a line break, or at a lone separator.
-_END = re.compile(r"(?<=[.!?…])[\"'»”)\]]*\s+|\n+|\r+|\s+[;/|•·–—-]+\s+|(?<=[.!?])(?=[A-ZÀ-ÞА-ЯЁ¿¡][a-zà-ÿа-яё])")
+#: A sentence ends after punctuation before a space or a capital, at a line break, or at a lone separator.
+_CUT = re.compile(r"[.!?…][\"'»”)\]]*(?:\s+|(?=[A-ZÀ-ÞА-ЯЁ¿¡][a-zà-ÿа-яё]))|[\n\r]+|\s[;/|•·–—-]+\s+")
 _BULLET = re.compile(r"^\s*(?:[-*•·–—+;/|]+|\d{1,2}[.)])\s+")
 #: Fixed value list: abbreviations whose full stop ends no sentence.
 _ABBREVIATIONS = re.compile(r"(?:^|[\s(])(?:mr|mrs|ms|dr|st|rd|ave|nr|no|inc|prof|sr|sra|hr|fr|tel|bzw|z\.b|usw|ca|approx|etc|[a-zA-ZÀ-Þ])\.$", re.IGNORECASE)
@@ -27,19 +27,24 @@ def plain(text: str) -> str:
 
 def sentences(text: str) -> list[str]:
     """The sentences and lines of a text in reading order, without bullets and blanks."""
+    t = plain(text)
     out: list[str] = []
-    glue = ""
-    for part in _END.split(plain(text)):
-        part = _BULLET.sub("", (glue + part)).strip()
-        glue = ""
-        if not part:
-            continue
-        if _ABBREVIATIONS.search(part) and len(part) < 400:
-            glue = part + " "
-            continue
+    lo = 0
+    for m in _CUT.finditer(t):
+        stop = t[m.start()] in ".!?…"
+        part = t[lo : m.end() if stop else m.start()].strip()
+        if stop and part[-1:] == "." and len(part) - part.rfind(" ") <= 6 and len(part) < 400 and _ABBREVIATIONS.search(part):
+            continue  # no end: the sentence goes on
+        lo = m.end()
+        if part and not part[0].isalpha():
+            part = _BULLET.sub("", part).strip()
+        if part:
+            out.append(part)
+    part = t[lo:].strip()
+    if part and not part[0].isalpha():
+        part = _BULLET.sub("", part).strip()
+    if part:
         out.append(part)
-    if glue.strip():
-        out.append(glue.strip())
     return out
 
 
