@@ -94,44 +94,42 @@ def plan(sizes: dict[str, tuple[int, int]], targets: Sequence[tuple[str, str, fl
     """Shares under repetition limits. sizes: of each source key its tokens and documents; targets: name, key, weight,
     max_repeats; total: the budget in tokens.
 
-    Between the natural token shares s and the targets w lies the path s * (w / s) ** x, normalised; x is bisected to
-    the largest exponent in [0, 1] at which no source is repeated beyond its limit. A source that exceeds its limit
-    at x = 1 is short: it gets all its limit allows, and the path is taken again for the others with what is left,
-    until none is short. Weights of null or below 0 count as 0, limits of null as 1.
+    A source is short if its limit keeps it below its target share of the budget: it gets all its limit allows. Every
+    other source gets its target, and what the short ones leave is spread by temperature: from the room r that is left
+    up to the limits to the targets w lies the path r * (w / r) ** x, normalised; x is bisected to the largest exponent
+    in [0, 1] at which no source is repeated beyond its limit. At x = 0 that holds whenever the rooms suffice at all;
+    if they do not, all sources get their limit. Weights of null or below 0 count as 0, limits of null as 1.
     """
     weight = sum(max(w or 0.0, 0.0) for _, _, w, _ in targets)
     rows = [(n, k, *sizes.get(k, (0, 0)), max(w or 0.0, 0.0) / weight if weight else 0.0, (1 if m is None else max(m, 0)) * sizes.get(k, (0, 0))[0]) for n, k, w, m in targets]
     goal = [r[4] * total for r in rows]
     short = [r[5] < g for r, g in zip(rows, goal)]
-    got = [float(r[5]) if s else 0.0 for r, s in zip(rows, short)]
-    capped = list(short)
+    got = [float(r[5]) if s else g for r, s, g in zip(rows, short, goal)]
+    room = {i: r[5] - got[i] for i, r in enumerate(rows) if r[4] > 0 and r[5] > got[i]}
+    left = sum(goal) - sum(got)
     x = 1.0
-    while True:
-        free = [i for i, c in enumerate(capped) if not c and rows[i][2] > 0 and rows[i][4] > 0]
-        left = max(total - sum(got[i] for i in range(len(rows)) if capped[i]), 0.0)
-        if not free:
-            break
-        nat, tar = sum(rows[i][2] for i in free), sum(rows[i][4] for i in free)
-
-        def path(a: float, free=free, nat=nat, tar=tar, left=left) -> dict[int, float]:
-            v = {i: (rows[i][2] / nat) ** (1 - a) * (rows[i][4] / tar) ** a for i in free}
+    if left > 0 and left >= sum(room.values()):
+        x = 0.0
+        for i in room:
+            got[i] = float(rows[i][5])
+    elif left > 0:
+
+        def path(a: float) -> dict[int, float]:
+            v = {i: math.exp((1 - a) * math.log(r) + a * math.log(rows[i][4])) for i, r in room.items()}
             z = sum(v.values())
             return {i: left * p / z for i, p in v.items()}
 
-        over = [i for i, v in path(1.0).items() if v > rows[i][5] + 1e-9]
-        if over and sum(rows[i][5] for i in free) > left:
-            # What the short ones leave would push these over their limits: they get their limit, the rest the rest.
+        def fits(a: float) -> bool:
+            return all(v <= room[i] + 1e-9 for i, v in path(a).items())
+
+        if not fits(1.0):
             lo, hi = 0.0, 1.0
             for _ in range(60):
                 mid = (lo + hi) / 2
-                lo, hi = (mid, hi) if all(v <= rows[i][5] for i, v in path(mid).items()) else (lo, mid)
-            x = min(x, lo)
-        for i in over:
-            got[i], capped[i] = float(rows[i][5]), True
-        if not over:
-            for i, v in path(1.0).items():
-                got[i] = v
-            break
+                lo, hi = (mid, hi) if fits(mid) else (lo, mid)
+            x = lo
+        for i, v in path(x).items():
+            got[i] = min(got[i] + v, float(rows[i][5]))
     return [Share(n, k, t, d, w, c, g, x, s) for (n, k, t, d, w, c), g, s in zip(rows, got, short)]
 
 

@@ -19,6 +19,20 @@ def test_plan_fills_up_to_limits():
     assert mixing.plan({}, [], 0) == [] and mixing.plan({}, TARGETS, 0)[0].planned == 0
 
 
+def test_exponent_decides_the_plan():
+    sizes = {"a": (100, 1), "b": (300, 1), "c": (500, 1), "d": (900, 1)}
+    targets = [("a", "a", 4.0, 1), ("b", "b", 2.0, 1), ("c", "c", 1.0, 1), ("d", "d", 1.0, 1)]
+    got = mixing.plan(sizes, targets, 1000)
+    assert [s.short for s in got] == [True, False, False, False] and 0 < got[0].exponent < 1
+    assert sum(s.planned for s in got) == pytest.approx(1000) and all(s.planned <= s.capacity for s in got)
+    # What a leaves (400) goes along the path from the rooms to the targets; no source falls below its target.
+    x, room, w = got[0].exponent, [50, 375, 775], [0.25, 0.125, 0.125]
+    v = [r ** (1 - x) * p**x for r, p in zip(room, w)]
+    assert [s.planned - p * 1000 for s, p in zip(got[1:], w)] == pytest.approx([400 * p / sum(v) for p in v])
+    # It is the largest exponent: b is at its limit.
+    assert got[1].planned == pytest.approx(300)
+
+
 def test_exponent_meets_entropy_and_limits():
     t = [1000, 100, 10]
     even = mixing.exponent_for(t, entropy=2.0)
