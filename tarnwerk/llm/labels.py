@@ -152,7 +152,8 @@ def detect(rows: DataFrame, model: Model | None = None) -> DataFrame:
 
 
 def wrong_labels(detected: DataFrame) -> DataFrame:
-    """The runs of the records whose label is missing, wrong or contradicted, or that mix languages."""
-    wrong = F.col("label_code").isNull() | (F.col("label_code") != F.col("lang_code"))
+    """The runs of the records whose label is missing, wrong or contradicted, or that mix languages. A missing label
+    needs no certainty; a filled one is only contradicted by a run of confidence SURE."""
     contrary = F.col("is_english").isNotNull() & (F.col("is_english") != (F.col("lang_code") == "en"))
-    return detected.where((F.col("words") >= MIN_WORDS) & ((F.col("runs") > 1) | ((F.col("confidence") >= SURE) & (wrong | contrary))))
+    contradicted = (F.col("confidence") >= SURE) & ((F.col("label_code") != F.col("lang_code")) | contrary)
+    return detected.where((F.col("words") >= MIN_WORDS) & ((F.col("runs") > 1) | F.col("label_code").isNull() | contradicted))

@@ -27,6 +27,12 @@ def test_runs_and_wrong_labels(spark):
     assert got == [("a", 1, "en"), ("b", 1, "es"), ("c", 1, "en"), ("c", 2, "es"), ("c", 3, "en"), ("d", 1, "en"), ("h", 1, "de")]
 
 
+def test_missing_label_needs_no_certainty(spark):
+    rows = [("t", "null", None, None, 1, "es", 0.55, 1, 6), ("t", "filled", "pt", None, 1, "es", 0.55, 1, 6), ("t", "sure", "pt", None, 1, "es", 0.95, 1, 6), ("t", "short", None, None, 1, "es", 0.55, 1, 4)]
+    got = labels.wrong_labels(spark.createDataFrame(rows, labels.RUN_SCHEMA)).collect()
+    assert sorted(r.record_id for r in got) == ["null", "sure"]
+
+
 def test_empty_table(spark):
     assert labels.detect(spark.createDataFrame([], SCHEMA)).count() == 0
 
