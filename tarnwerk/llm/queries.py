@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tarnwerk.functions.scalars import source_key
 from tarnwerk.llm import clusters, labels, leaks, mixing, pairs, pii, subjects
 from tarnwerk.operators.joins import first_delivery, lookup_join
+from tarnwerk.operators.lineage import cut
 from tarnwerk.sources.ship import ship
 from tarnwerk.sources.tables import table
 
@@ -78,17 +79,24 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
     """The mixed corpus: each document used, its source and how often."""
-    sized = sized_documents(spark, d)
+    sized = cut(sized_documents(spark, d))
     return mixing.realise(sized, mixing.make_plan(sized, table(spark, d, "mix_targets")), "doc_id")
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     """Target shares and the shares really reached."""
-    sized = sized_documents(spark, d)
+    sized = cut(sized_documents(spark, d))
     shares = mixing.make_plan(sized, table(spark, d, "mix_targets"))
     return mixing.reached(mixing.realise(sized, shares, "doc_id"), shares)
 
 
+def p9_even(spark: SparkSession, d: str) -> DataFrame:
+    """The most even mix of the target sources that their repetition limits allow, and the shares really reached."""
+    sized = cut(sized_documents(spark, d))
+    shares = mixing.make_even_plan(sized, table(spark, d, "mix_targets"))
+    return mixing.reached(mixing.realise(sized, shares, "doc_id"), shares)
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return subjects.find_subjects(table(spark, d, "documents"), table(spark, d, "subject_areas"), table(spark, d, "subject_labels"))
 
@@ -132,5 +140,5 @@ def _shipped(f):
     return run
 
 
-QUERIES = {f.__name__: _shipped(f) for f in (p1_found, p1_report, p3_found, p3_redacted, p5_found, p5_groups, p6_found, p6_segments, p8_found, p8_items, p9_found, p9_mix, p9_shares, p10_found, p10_composition)}
+QUERIES = {f.__name__: _shipped(f) for f in (p1_found, p1_report, p3_found, p3_redacted, p5_found, p5_groups, p6_found, p6_segments, p8_found, p8_items, p9_found, p9_mix, p9_shares, p9_even, p10_found, p10_composition)}
 SQL: dict[str, str] = {}

@@ -19,18 +19,26 @@ def test_plan_fills_up_to_limits():
     assert mixing.plan({}, [], 0) == [] and mixing.plan({}, TARGETS, 0)[0].planned == 0
 
 
-def test_exponent_decides_the_plan():
-    sizes = {"a": (100, 1), "b": (300, 1), "c": (500, 1), "d": (900, 1)}
-    targets = [("a", "a", 4.0, 1), ("b", "b", 2.0, 1), ("c", "c", 1.0, 1), ("d", "d", 1.0, 1)]
-    got = mixing.plan(sizes, targets, 1000)
-    assert [s.short for s in got] == [True, False, False, False] and 0 < got[0].exponent < 1
-    assert sum(s.planned for s in got) == pytest.approx(1000) and all(s.planned <= s.capacity for s in got)
-    # What a leaves (400) goes along the path from the rooms to the targets; no source falls below its target.
-    x, room, w = got[0].exponent, [50, 375, 775], [0.25, 0.125, 0.125]
-    v = [r ** (1 - x) * p**x for r, p in zip(room, w)]
-    assert [s.planned - p * 1000 for s, p in zip(got[1:], w)] == pytest.approx([400 * p / sum(v) for p in v])
-    # It is the largest exponent: b is at its limit.
-    assert got[1].planned == pytest.approx(300)
+def test_exponents_decide_the_plan():
+    sizes = {"a": (100, 1), "b": (600, 1), "c": (500, 1), "d": (800, 1)}
+    targets = [("a", "a", 4.0, 2), ("b", "b", 2.0, 1), ("c", "c", 1.0, 1), ("d", "d", 1.0, 1)]
+    got = mixing.plan(sizes, targets, 2000)
+    assert [s.short for s in got] == [True, False, False, False]
+    # a goes from its natural 100 tokens towards 1000 until its limit of 200 stops it.
+    assert 0 < got[0].exponent < 1 and mixing.path(0.05, 0.5, got[0].exponent) * 2000 == pytest.approx(200) == pytest.approx(got[0].planned)
+    assert sum(s.planned for s in got) == pytest.approx(2000) and all(s.planned <= s.capacity + 1e-6 for s in got)
+    # What a leaves (800) goes along the path from the rooms to the targets until b is at its limit; none falls below its target.
+    assert got[1].planned == pytest.approx(600, abs=1e-3)
+    assert 250 / 550 < (got[2].planned - 250) / (got[3].planned - 250) < 1
+    tighter = mixing.plan(sizes, [("a", "a", 4.0, 1), *targets[1:]], 2000)
+    assert tighter[0].exponent < got[0].exponent and tighter[0].planned == pytest.approx(100)
+
+
+def test_even_plan_meets_the_limits():
+    got = mixing.even_plan({"a": (100, 1), "b": (900, 1)}, [("a", "a", 3), ("b", "b", 1)], 1000)
+    assert got[0].planned == pytest.approx(300, abs=1e-3) and sum(s.planned for s in got) == pytest.approx(1000)
+    natural = mixing.even_plan({"a": (100, 1), "b": (900, 1)}, [("a", "a", 1), ("b", "b", 1)], 1000)
+    assert [s.planned for s in natural] == pytest.approx([100, 900])
 
 
 def test_exponent_meets_entropy_and_limits():
