@@ -11,12 +11,14 @@ from itertools import groupby
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnwerk.llm import langid
 from tarnwerk.llm.langid import LANGS, Model
 from tarnwerk.llm.text import sentences
+from tarnwerk.operators.joins import lookup_join
+from tarnwerk.operators.lineage import cut
 
 #: Names of languages; those beyond the six name another language.
 NAMES = {
@@ -78,25 +80,28 @@ def runs(like: np.ndarray, log_prior: np.ndarray) -> list[tuple[int, float, int,
     return out
 
 
-def smooth(counts: dict[str, list[tuple[str, int, int]]]) -> tuple[np.ndarray, dict[str, list[float]]]:
-    """The log prior of all and of each place, from counts (name, language, texts) of ``place`` and ``where``, the
-    latter naming place and locale. A place leans on its locale, the locale on all."""
-    k = len(LANGS)
-    by: dict[str, dict[str, np.ndarray]] = {"place": {}, "locale": {}}
-    locale_of: dict[str, str] = {}
-    top = np.ones(k)
-    for name, lang, n in counts.get("where", []):
-        place, locale = name.split("\t", 1)
-        top[lang] += n
-        if place:
-            by["place"].setdefault(place, np.zeros(k))[lang] += n
-            locale_of[place] = locale
-        if locale:
-            by["locale"].setdefault(locale, np.zeros(k))[lang] += n
+def place_priors(counts: DataFrame) -> tuple[list[float], DataFrame]:
+    """The log prior of all, and (place, prior) of each place, from counts (kind g0, item = place and locale, lang, n).
+
+    Hierarchically smoothed by grouped aggregation: a place leans on its locale, the locale on all. An action brings the
+    six sums of all to the driver; places and locales stay in the cluster.
+    """
+    told = counts.where("kind = 'g0'").select(F.split_part("item", F.lit("\t"), F.lit(1)).alias("place"), F.split_part("item", F.lit("\t"), F.lit(2)).alias("locale"), "lang", "n")
+    top = np.ones(len(LANGS))
+    for r in told.groupBy("lang").agg(F.sum("n").alias("n")).collect():
+        top[r.lang] += r.n
     top /= top.sum()
-    locales = {m: (v + SMOOTHING * top) / (v.sum() + SMOOTHING) for m, v in by["locale"].items()}
-    places = {m: (v + SMOOTHING * locales.get(locale_of[m], top)) / (v.sum() + SMOOTHING) for m, v in by["place"].items()}
-    return np.log(top), {m: np.log(v).tolist() for m, v in places.items()}
+    each = lambda: F.array(*[F.sum(F.when(F.col("lang") == k, F.col("n")).otherwise(0)).cast("double") for k in range(len(LANGS))])
+
+    def lean(own: Column, on: Column) -> Column:
+        total = F.aggregate(own, F.lit(0.0), lambda a, x: a + x)
+        return F.zip_with(own, on, lambda x, y: (x + F.lit(SMOOTHING) * y) / (total + F.lit(SMOOTHING)))
+
+    of_all = F.array(*[F.lit(float(x)) for x in top])
+    locales = told.where("locale != ''").groupBy("locale").agg(each().alias("_l")).select("locale", lean(F.col("_l"), of_all).alias("_on"))
+    places = told.where("place != ''").groupBy("place").agg(F.min("locale").alias("locale"), each().alias("_p")).join(locales, "locale", "left")
+    smoothed = lean(F.col("_p"), F.coalesce("_on", of_all))
+    return np.log(top).tolist(), places.select("place", F.transform(smoothed, lambda x: F.log(x)).alias("prior"))
 
 
 RUN_SCHEMA = "table_name string, record_id string, label_code string, is_english boolean, seg_no int, lang_code string, confidence double, runs int, words int"
@@ -107,17 +112,21 @@ def detect(rows: DataFrame, model: Model | None = None) -> DataFrame:
 
     rows: table_name, record_id, text, label, is_english, place, locale. Null, empty and wordless texts give no rows.
     Very long texts are read whole. The label and the place only weigh in where the text leaves doubt. Two passes over
-    the texts: one counts words per language and languages per place, one finds the runs.
+    the texts, which are cut first: one counts words per language and languages per place, one finds the runs. The
+    prior of its place is joined to each row (lookup_join).
     """
-    rows = rows.withColumn("where", F.concat(F.coalesce("place", F.lit("")), F.lit("\t"), F.coalesce("locale", F.lit(""))))
-    trained, counts = langid.train(rows, "text", ("where",))
-    shared = rows.sparkSession.sparkContext.broadcast((model or trained, *smooth(counts)))
+    rows = cut(rows.select("table_name", "record_id", "text", "label", "is_english", "place", "locale").where(F.length("text") > 0))
+    counts = langid.count(rows.withColumn("where", F.concat(F.coalesce("place", F.lit("")), F.lit("\t"), F.coalesce("locale", F.lit("")))), "text", ("where",))
+    top, priors = place_priors(counts)
+    shared = rows.sparkSession.sparkContext.broadcast((model or langid.model_of(counts), top))
+    rows = lookup_join(rows.drop("locale"), priors, "place")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model, top, of_place = shared.value
+        model, top = shared.value
         codes = {c: i for i, c in enumerate(LANGS)}
+        said = np.full((len(LANGS), len(LANGS)), np.log(LABEL_WRONG))
+        np.fill_diagonal(said, np.log(LABEL_RIGHT))
         known: dict = {}
-        priors: dict = {}
         for b in batches:
             parts: list[list[str]] = []
             ends = [0]
@@ -127,7 +136,7 @@ def detect(rows: DataFrame, model: Model | None = None) -> DataFrame:
             score, told = model.score_all(parts)
             size = np.array([len(ws) for ws in parts] or [0])
             out = []
-            for i, (name, rid, label, english, place) in enumerate(zip(b["table_name"], b["record_id"], b["label"], b["is_english"], b["place"])):
+            for i, (name, rid, label, english, of_place) in enumerate(zip(b["table_name"], b["record_id"], b["label"], b["is_english"], b["prior"])):
                 lo, hi = ends[i], ends[i + 1]
                 keep = told[lo:hi] > 0
                 if not keep.any():
@@ -135,20 +144,15 @@ def detect(rows: DataFrame, model: Model | None = None) -> DataFrame:
                 if label not in known:
                     known[label] = label_code(label)
                 code = known[label]
-                prior = priors.get((place, code))
-                if prior is None:
-                    prior = np.array(of_place.get(place, top))
-                    if code in codes:
-                        said = np.full(len(LANGS), np.log(LABEL_WRONG))
-                        said[codes[code]] = np.log(LABEL_RIGHT)
-                        prior = prior + said
-                    priors[place, code] = prior
+                prior = np.array(top if of_place is None else of_place)
+                if code in codes:
+                    prior = prior + said[codes[code]]
                 found = runs(score[lo:hi][keep], prior)
                 n = int(size[lo:hi].sum())
                 out += [(name, rid, code, english, j, LANGS[k], conf, len(found), n) for j, (k, conf, _, _) in enumerate(found, 1)]
             yield pd.DataFrame(out, columns=["table_name", "record_id", "label_code", "is_english", "seg_no", "lang_code", "confidence", "runs", "words"])
 
-    return rows.select("table_name", "record_id", "text", "label", "is_english", "place").where(F.length("text") > 0).mapInPandas(run, RUN_SCHEMA)
+    return rows.select("table_name", "record_id", "text", "label", "is_english", "prior").mapInPandas(run, RUN_SCHEMA)
 
 
 def wrong_labels(detected: DataFrame) -> DataFrame:

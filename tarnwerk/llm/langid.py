@@ -1,7 +1,7 @@
 """Language likelihoods of short texts: words first, character n-grams for words not seen.
 
 The model is trained without labels: sentences with clear function words seed it, all sentences of the corpus are then
-counted. Counts come from grouped aggregation over the whole corpus; the model keeps the most frequent entries.
+counted. Counts come from grouped aggregation over the whole corpus; the model keeps what is not rarer than a share of it.
 """
 
 from __future__ import annotations
@@ -9,18 +9,20 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarnwerk.llm.text import sentences, words
+from tarnwerk.operators.lineage import cut
 
 LANGS = ("en", "es", "de", "fr", "pt", "ru")
-#: Bounds of the model, per language.
-MAX_WORDS, MAX_GRAMS = 30_000, 12_000
+#: The model keeps what holds at least one in so many of all counts of its kind: so it has at most so many words, and
+#: n-grams, per language, at any size of the corpus; what is rarer is told by the n-grams of its letters.
+RAREST_WORD, RAREST_GRAM = 2_000_000, 400_000
 
 #: Fixed value lists: common function words of each language.
 FUNCTION_WORDS = {
@@ -60,7 +62,7 @@ class Model:
 
     def _row(self, w: str) -> int:
         """Table row of a word not met so far: the sum of its n-grams; row 0 where they tell nothing."""
-        parts = [self.grams[g] for g in grams(w[:40]) if g in self.grams] if self.grams else []
+        parts = [self.grams[g] for g in grams(w) if g in self.grams] if self.grams else []
         row = 0
         if parts:
             row = self.free
@@ -135,57 +137,97 @@ def guess(model: Model, text: str, margin: float = 0.0) -> int | None:
     return None if k < 0 else k
 
 
-def train(texts: DataFrame, column: str, groups: tuple[str, ...] = (), margin: float = 10.0):
-    """A model of all texts in ``column``, with the counts (group, language, texts) of each column in ``groups``: with
-    groups a pair, else the model alone (an action: its bounded counts come to the driver).
+#: Rows of counts: what is counted, an item, its language (0 where that means nothing) and how often.
+COUNTS = "kind string, item string, lang int, n bigint"
+
+
+def count(texts: DataFrame, column: str, groups: Sequence[str] = (), margin: float = 10.0, extra: Callable[[list[list[str]], Counter], None] | None = None) -> DataFrame:
+    """Counts of all texts in ``column``, by kind: ``w`` the words of each language, ``g0``, ``g1`` … the languages of the
+    texts of each value of the columns ``groups``, and what ``extra`` adds to a counter of (kind, item) from the
+    sentences of each text. One pass over the texts; the counts are cut, since several results are read off them.
 
     Sentences are labelled by their function words and counted if the best language leads by ``margin`` nats, that is
-    by at least two such words. Null and empty texts add nothing; without any text the function words remain. Words are
-    combined per partition, then summed by key; of each language the MAX_WORDS words of most weight are kept, and the
-    MAX_GRAMS n-grams that these have most. Groups are values of dimension columns.
+    by at least two such words. Null and empty texts add nothing. Counts are combined per partition and handed on
+    before they grow beyond a bound, then summed by key.
     """
-    model = seed_model()
-    seeds = texts.sparkSession.sparkContext.broadcast(model)
+    seeds = texts.sparkSession.sparkContext.broadcast(seed_model())
     keys, many = [F.col(g).cast("string").alias(f"_g{i}") for i, g in enumerate(groups)], len(groups)
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def tally(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ws = [Counter() for _ in LANGS]
         told: Counter = Counter()
+        more: Counter = Counter()
+
+        def frame() -> pd.DataFrame:
+            rows = [("w", w, k, n) for k in range(len(LANGS)) for w, n in ws[k].items()]
+            rows += [(*g, n) for g, n in told.items()] + [(kind, item, 0, n) for (kind, item), n in more.items()]
+            return pd.DataFrame(rows, columns=["kind", "item", "lang", "n"])
+
         for b in batches:
-            parts: list[list[str]] = []
-            ends = [0]
-            for t in b["t"]:
-                parts += [spoken(s) for s in sentences(t)]
-                ends.append(len(parts))
-            s, n = seeds.value.score_all(parts)
+            cut_up = [sentences(t) for t in b["t"]]
+            parts = [spoken(s) for p in cut_up for s in p]
+            s, _ = seeds.value.score_all(parts)
             for k, words_ in zip(leading(s, margin).tolist(), parts):
                 if k >= 0:
                     ws[k].update(words_)
+            if extra is not None:
+                extra(cut_up, more)
             if many:
-                at = np.array(ends)
+                at = np.cumsum([0, *map(len, cut_up)])
                 cum = np.vstack([np.zeros((1, len(LANGS))), np.cumsum(s, axis=0)])
                 whole = leading(cum[at[1:]] - cum[at[:-1]], margin).tolist()
                 for k, *g in zip(whole, *[b[f"_g{i}"] for i in range(many)]):
                     if k >= 0:
                         told.update((f"g{i}", x, k) for i, x in enumerate(g) if x is not None)
-        rows = [("w", w, k, n) for k in range(len(LANGS)) for w, n in ws[k].items() if len(w) <= 40]
-        yield pd.DataFrame(rows + [(*g, n) for g, n in told.items()], columns=["kind", "item", "lang", "n"])
+            if len(more) + len(told) + sum(map(len, ws)) > 400_000:
+                yield frame()
+                for c in (*ws, told, more):
+                    c.clear()
+        yield frame()
 
-    counts = texts.select(F.col(column).alias("t"), *keys).where(F.length("t") > 0).mapInPandas(count, "kind string, item string, lang int, n bigint")
-    best = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "item")
-    kept = counts.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")).where("n > 1 or kind != 'w'").withColumn("r", F.row_number().over(best))
-    rows = kept.where((F.col("kind") != "w") | (F.col("r") <= MAX_WORDS)).select("lang", "kind", "item", "n").toPandas()
+    rows = texts.select(F.col(column).alias("t"), *keys).where(F.length("t") > 0).mapInPandas(tally, COUNTS)
+    return cut(rows.groupBy("kind", "item", "lang").agg(F.sum("n").alias("n")))
+
+
+def model_of(counts: DataFrame) -> Model:
+    """The model of counted words (an action): words that hold at least one in RAREST_WORD of the words of a language,
+    and two of them; the n-grams of these words that hold one in RAREST_GRAM. Without any text the function words remain."""
+    words_ = counts.where("kind = 'w'")
+    least = {r.lang: max(2.0, r.n / RAREST_WORD) for r in words_.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     by_word: dict[str, dict[str, int]] = {c: {w: 1 for w in ws} for c, ws in FUNCTION_WORDS.items()}
     by_gram: dict[str, Counter] = {c: Counter() for c in LANGS}
-    of_words = rows[rows["kind"] == "w"]
-    for lang, item, n in zip(of_words["lang"], of_words["item"], of_words["n"]):
+    often = F.lit(False)
+    for lang, n in least.items():
+        often = often | ((F.col("lang") == lang) & (F.col("n") >= n))
+    for lang, item, n in words_.where(often).select("lang", "item", "n").toPandas().itertuples(index=False):
         by_word[LANGS[lang]][item] = int(n)
         for g in grams(item):
             by_gram[LANGS[lang]][g] += int(n)
-    model = Model(by_word, {c: dict(g.most_common(MAX_GRAMS)) for c, g in by_gram.items()})
-    if not groups:
-        return model
-    return model, {g: [(r.item, int(r.lang), int(r.n)) for r in rows[rows["kind"] == f"g{i}"].itertuples()] for i, g in enumerate(groups)}
+    kept = {c: {g: n for g, n in gs.items() if n * RAREST_GRAM >= gs.total()} for c, gs in by_gram.items()}
+    return Model(by_word, kept)
+
+
+def train(texts: DataFrame, column: str, margin: float = 10.0) -> Model:
+    """A model of all texts in ``column`` (actions: one pass over the texts, and its bounded counts come to the driver)."""
+    return model_of(count(texts, column, margin=margin))
+
+
+_CYRILLIC, _LATIN, _LETTER = re.compile("[\u0400-\u04ff]"), re.compile("[A-Za-z\u00c0-\u024f]"), re.compile(r"[^\W\d_]")
+
+
+def script_of(text: str) -> str | None:
+    """The script of most letters of a text: ``latin``, ``cyrillic`` or ``other``; None without letters."""
+    n = len(_LETTER.findall(text))
+    if not n:
+        return None
+    if text.isascii() or 2 * len(_LATIN.findall(text)) > n:
+        return "latin"
+    return "cyrillic" if 2 * len(_CYRILLIC.findall(text)) > n else "other"
+
+
+def script_due(lang: int) -> str:
+    """The script a language is written in."""
+    return "cyrillic" if LANGS[lang] == "ru" else "latin"
 
 
 def posterior(log_likelihood: np.ndarray, log_prior: np.ndarray) -> np.ndarray:

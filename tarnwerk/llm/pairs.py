@@ -6,9 +6,10 @@ tells whether it says anything of its own; a refusal grammar and language likeli
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from tarnwerk.llm import langid
 from tarnwerk.llm.langid import LANGS, Model
 from tarnwerk.llm.text import sentences
+from tarnwerk.operators.lineage import cut
 
 FALLBACK = "fallback_from_invalid_json"
 #: Shortest tile of words that counts as copied, unless it is a whole sentence.
@@ -27,14 +29,15 @@ MIN_TILE = 3
 LANGUAGE_LEAD = 8.0
 #: A pair of words ends sentences if it did so at least so often, and in this share of its uses.
 END_COUNT, END_SHARE = 2, 0.2
-#: Bound of the table of sentence-final word pairs.
-MAX_ENDS = 200_000
+#: A pair that ends sentences is kept if it ends at least one in so many of them: so there are at most so many.
+RAREST_END = 1_000_000
 
 #: Fixed value list: words that stand for no answer.
 PLACEHOLDERS = set("n/a na none null nil nan undefined empty tbd - -- . .. ... … ? k.a. keine keiner nichts ninguno ninguna nada aucun aucune rien néant nenhum nenhuma нет ничего".split()) | {"no answer", "no response", "keine angabe", "keine antwort", "sin respuesta", "sin datos", "pas de réponse", "sem resposta", "нет ответа", "no data", "not available"}
 _FENCE = re.compile(r"```+[a-zA-Z0-9_-]*|~~~+[a-zA-Z0-9_-]*")
 _INVISIBLE = re.compile(r"[​‌‍⁠﻿ \s]+")
 _TOKEN = re.compile(r"[^\W_]+(?:['’.,:][^\W_]+)*")
+_DIGITS = re.compile(r"\d+")
 
 #: Fixed patterns of refusal: who declines and what is declined, by language.
 REFUSALS = re.compile(
@@ -56,6 +59,8 @@ REFUSALS = re.compile(
     """,
     re.IGNORECASE | re.VERBOSE,
 )
+#: Words of which every refusal holds one: an answer without any of them needs no search.
+DECLINING = frozenset("rather decline refuse unable not cannot can't can’t cant won't won’t wont wouldn't wouldn’t pass prefer against beyond no niego rechazo debo tengo prefiero nicht kein keine keinen ablehnen verweigern lehne ne refuse refuser décliner préfère não recuso recusar declinar devo tenho preciso prefiro не отказываюсь вынужден вынуждена вынуждены вынуждено должен должна придётся".split())
 #: Fixed patterns of courtesies that may go with a refusal.
 COURTESY = re.compile(r"\b(?:thank|thanks|sorry|take care|anything else|understanding|please|unfortunately|consult|contact|ask an?|gracias|perd[oó]n|siento|por favor|consulte|danke|leid|bitte|wenden|merci|désolé|veuillez|obrigad[oa]|desculpe|procure|спасибо|извин\w+|простите|пожалуйста|обратитесь|сожалению)\b", re.IGNORECASE)
 
@@ -69,73 +74,111 @@ _NAMED = {
 
 @dataclass
 class Parsed:
-    """What the pushdown parser found: structured or not, closed or not, the text values and what follows."""
+    """What the pushdown parser found: structured or not, closed or not, the text values and what else is said."""
 
     structured: bool = False
     closed: bool = True
     values: list[str] = field(default_factory=list)
     filled: bool = False
     tail: str = ""
+    #: What is still open at the end, the innermost last: brackets, quotations, fences, list items, tags.
+    open: list[str] = field(default_factory=list)
+
+
+#: Where JSON begins after an opening sentence: a bracket before a quotation, a bracket or a line end.
+_BEGIN = re.compile(r"[{\[](?=\s*[\"{\[]|\s*\n)")
+#: The symbols of JSON: a string (closed or not) and whether a colon follows it, brackets, figures.
+_SYMBOL = re.compile(r'"((?:[^"\\]|\\.)*)("?)(\s*:)?|([{\[])|([}\]])|\d', re.DOTALL)
+#: The symbols of prose: fences, tags, list items, brackets and quotations.
+_PROSE = re.compile(r"(?P<fence>```+|~~~+)|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9]*)\b[^<>]*(?P<close>>|\Z)|(?P<item>(?:^|\n)[ \t]*(?:[-*•]|\d{1,2}[.)])(?=\s|\Z))|(?P<open>[(\[{«“„])|(?P<shut>[)\]}»”])")
+_SHUT = {"(": ")", "[": "]", "{": "}", "«": "»", "“": "”", "„": "“”"}
+#: Fixed value list: tags that are never closed.
+_VOID = frozenset("br hr img input meta link p li td tr".split())
+_ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "b": " ", "f": " "}
+
+
+def _unescape(s: str) -> str:
+    if "\\" not in s:
+        return s
+    return re.sub(r"\\(?:u([0-9a-fA-F]{4})|(.))", lambda m: chr(int(m.group(1), 16)) if m.group(1) else _ESCAPES.get(m.group(2), m.group(2)), s, flags=re.DOTALL)
 
 
 def parse(text: str) -> Parsed:
-    """Read an answer with a stack of brackets and quotations. Fences are skipped wherever they stand; stray commas
-    and missing commas are no matter. Text that does not begin with a bracket is prose: closed, one value."""
+    """Read an answer with a stack. JSON, also after an opening sentence or in a fence, is closed when its first
+    bracket is; stray commas and missing commas are no matter. All other text is prose: one value, whose fences,
+    tags, list items, brackets and quotations are pushed and popped, so that ``open`` tells what it leaves unfinished."""
     t = _FENCE.sub(" ", text).strip()
     if t[:4].lower() == "json":
         t = t[4:].lstrip()
-    if t[:1] not in ("{", "["):
-        return Parsed(values=[t] if t else [], filled=bool(t))
-    stack: list[str] = []
+    begin = 0 if t[:1] in ("{", "[") else m.start() if (m := _BEGIN.search(t)) else None
+    if begin is None:
+        return Parsed(values=[t] if t else [], filled=bool(t), open=_open_in(text.strip()))
     out = Parsed(structured=True, closed=False)
-    i, n = 0, len(t)
-    while i < n:
-        c = t[i]
-        if c == '"':
-            j, parts = i + 1, []
-            while j < n and t[j] != '"':
-                if t[j] == "\\" and j + 1 < n:
-                    e = t[j + 1]
-                    if e == "u" and j + 5 < n:
-                        try:
-                            parts.append(chr(int(t[j + 2 : j + 6], 16)))
-                        except ValueError:
-                            pass
-                        j += 6
-                        continue
-                    parts.append({"n": "\n", "t": "\t", "r": "\r"}.get(e, e))
-                    j += 2
-                    continue
-                parts.append(t[j])
-                j += 1
-            if j >= n:
-                out.values.append("".join(parts))
-                return out
-            i = j + 1
-            k = i
-            while k < n and t[k].isspace():
-                k += 1
-            if not (stack and stack[-1] == "}" and k < n and t[k] == ":"):  # a key is no value
-                v = "".join(parts).strip()
+    before = t[:begin].strip()
+    stack: list[str] = []
+    for m in _SYMBOL.finditer(t, begin):
+        opened, shut = m.group(4), m.group(5)
+        if m.group(1) is not None:
+            if not m.group(2):
+                out.values.append(_unescape(m.group(1)))
+                out.open = [*stack, '"']
+                break
+            if not (m.group(3) and stack and stack[-1] == "}"):  # a key is no value
+                v = _unescape(m.group(1)).strip()
                 if v:
                     out.values.append(v)
                     out.filled = out.filled or not is_nothing(v)
-            continue
-        if c in "{[":
-            stack.append("}" if c == "{" else "]")
-        elif c in "}]":
-            while stack and stack.pop() != c:
+        elif opened:
+            stack.append("}" if opened == "{" else "]")
+        elif shut:
+            while stack and stack.pop() != shut:
                 pass
             if not stack:
                 out.closed = True
-                out.tail = t[i + 1 :].strip()
-                return out
-        elif c.isdigit():
+                out.tail = t[m.end() :].strip()
+                break
+        else:
             out.filled = True
-        i += 1
+    else:
+        out.open = stack
+    if before:
+        out.tail = f"{before}\n{out.tail}".strip()
     return out
 
 
+def _open_in(text: str) -> list[str]:
+    """What prose leaves open: a fence, a tag, a list item without words, a bracket or a quotation."""
+    stack: list[str] = []
+    for m in _PROSE.finditer(text):
+        kind = m.lastgroup
+        if m.group("item") is not None:
+            if not text[m.end() :].strip():
+                stack.append("item")
+        elif m.group("fence") is not None:
+            if "fence" in stack:
+                del stack[stack.index("fence") :]
+            else:
+                stack.append("fence")
+        elif m.group("tag") is not None:
+            name = m.group("tag").lower()
+            if not m.group("close"):
+                stack.append("<")
+            elif m.group("end"):
+                if name in stack:
+                    del stack[stack.index(name) :]
+            elif name not in _VOID:
+                stack.append(name)
+        elif m.group("open") is not None:
+            stack.append(m.group("open"))
+        elif kind is not None:
+            c = m.group("shut")
+            for i in range(len(stack) - 1, -1, -1):
+                if c in _SHUT.get(stack[i], ""):
+                    del stack[i:]
+                    break
+    return stack
+
+
 def is_nothing(text: str | None) -> bool:
     """Whether a text says nothing: blank, invisible, punctuation only or a word for no answer."""
     t = _INVISIBLE.sub(" ", _FENCE.sub(" ", text or "")).strip().strip("\"'`*_ ").lower()
@@ -143,37 +186,44 @@ def is_nothing(text: str | None) -> bool:
 
 
 def tokens(text: str) -> list[str]:
-    return [w.lower() for w in _TOKEN.findall(text)]
+    return _TOKEN.findall(text.lower())
 
 
 def tiled(answer: list[str], record: list[str], least: int = MIN_TILE) -> int:
-    """Words of ``answer`` that greedy string tiling covers by runs of ``record`` of at least ``least`` words."""
+    """Words of ``answer`` that greedy string tiling covers by runs of ``record`` of at least ``least`` words.
+
+    Only places that share the hash of ``least`` words are compared, and a tile once found is not looked at again;
+    the longest matches are placed first, and what they leave of others is matched again.
+    """
+    if len(answer) < least or len(record) < least:
+        return 0
     free_a, free_r = [True] * len(answer), [True] * len(record)
-    at: dict[str, list[int]] = {}
-    for j, w in enumerate(record):
-        at.setdefault(w, []).append(j)
+    at: dict[tuple[str, ...], list[int]] = {}
+    for j in range(len(record) - least + 1):
+        at.setdefault(tuple(record[j : j + least]), []).append(j)
+
+    def run(i: int, j: int) -> int:
+        n = 0
+        while i + n < len(answer) and j + n < len(record) and free_a[i + n] and free_r[j + n] and answer[i + n] == record[j + n]:
+            n += 1
+        return n
+
+    heap = [(-n, i, j) for i in range(len(answer) - least + 1) for j in at.get(tuple(answer[i : i + least]), ()) if (i == 0 or j == 0 or answer[i - 1] != record[j - 1]) and (n := run(i, j)) >= least]
+    heapq.heapify(heap)
     covered = 0
-    while True:
-        best: list[tuple[int, int]] = []
-        longest = least - 1
-        for i, w in enumerate(answer):
-            if not free_a[i]:
-                continue
-            for j in at.get(w, ()):
-                n = 0
-                while i + n < len(answer) and j + n < len(record) and free_a[i + n] and free_r[j + n] and answer[i + n] == record[j + n]:
-                    n += 1
-                if n > longest:
-                    longest, best = n, [(i, j)]
-                elif n == longest and n >= least:
-                    best.append((i, j))
-        if not best:
-            return covered
-        for i, j in best:
-            if all(free_a[i : i + longest]) and all(free_r[j : j + longest]):
-                free_a[i : i + longest] = [False] * longest
-                free_r[j : j + longest] = [False] * longest
-                covered += longest
+    while heap:
+        n, i, j = heapq.heappop(heap)
+        now = run(i, j)
+        if now < -n:  # another tile took a part of it: the pieces before and after that are matches of their own
+            if now >= least:
+                heapq.heappush(heap, (-now, i, j))
+            if -n - now - 1 >= least:
+                heapq.heappush(heap, (n + now + 1, i + now + 1, j + now + 1))
+            continue
+        for k in range(now):
+            free_a[i + k] = free_r[j + k] = False
+        covered += now
+    return covered
 
 
 def copies(texts: list[str], record: str) -> bool:
@@ -198,6 +248,8 @@ def copies(texts: list[str], record: str) -> bool:
 
 def refuses(texts: list[str]) -> bool:
     """Whether the texts decline to answer and say nothing else but courtesies."""
+    if not any(not DECLINING.isdisjoint(tokens(t)) for t in texts):
+        return False
     declined, own = False, 0
     for t in texts:
         for s in sentences(t):
@@ -210,39 +262,40 @@ def refuses(texts: list[str]) -> bool:
 
 def final_pair(text: str) -> str | None:
     """The last two words of a text, digits as 0."""
-    ws = tokens(text[-200:])
-    return re.sub(r"\d+", "0", " ".join(ws[-2:])) if len(ws) >= 2 else None
+    ws = tokens(text)
+    return _DIGITS.sub("0", " ".join(ws[-2:])) if len(ws) >= 2 else None
 
 
-def count_ends(texts: list[str]) -> tuple[Counter, Counter]:
-    """Of each pair of adjacent words how often it stands before a full stop, and how often at all."""
-    ends, uses = Counter(), Counter()
-    for t in texts:
-        for s in sentences(t):
-            ws = tokens(re.sub(r"\d+", "0", s))
+def count_ends(texts: list[list[str]], into: Counter) -> None:
+    """Adds how often each pair of adjacent words stands before a full stop (``end``), how often elsewhere (``mid``), and
+    the ends in all (``ends``); texts as their sentences."""
+    for parts in texts:
+        for s in parts:
+            ws = tokens(_DIGITS.sub("0", s))
+            if len(ws) < 2:
+                continue
             ps = [f"{a} {b}" for a, b in zip(ws, ws[1:])]
-            uses.update(ps)
-            if ps and s.rstrip("\"'»”)]").endswith((".", "!", "?")):
-                ends[ps[-1]] += 1
-    return ends, uses
-
-
-def ends_learned(texts: DataFrame, column: str) -> frozenset[str]:
-    """Pairs of words that end sentences, by counts over all texts (an action; at most MAX_ENDS pairs)."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            ends, uses = count_ends([t for t in b["t"] if t])
-            yield pd.DataFrame([(p, n, uses[p]) for p, n in ends.items()] + [(p, 0, n) for p, n in uses.items() if p not in ends], columns=["pair", "ends", "uses"])
-
-    rows = texts.select(F.col(column).alias("t")).where(F.length("t") > 0).mapInPandas(count, "pair string, ends bigint, uses bigint")
-    kept = rows.groupBy("pair").agg(F.sum("ends").alias("ends"), F.sum("uses").alias("uses")).where((F.col("ends") >= END_COUNT) & (F.col("ends") >= END_SHARE * F.col("uses")))
-    return frozenset(r.pair for r in kept.orderBy(F.desc("ends"), "pair").limit(MAX_ENDS).select("pair").collect())
-
-
-def breaks_off(text: str, ends: frozenset[str]) -> bool:
-    """Whether prose ends inside a sentence. A missing full stop alone is no break: the last two words must be ones
-    that do not end sentences."""
+            if s.rstrip("\"'»”)]").endswith((".", "!", "?")):
+                into["end", ps.pop()] += 1
+                into["ends", ""] += 1
+            into.update(("mid", p) for p in ps)
+
+
+def ends_of(counts: DataFrame) -> frozenset[str]:
+    """Pairs of words that end sentences (an action): often enough, in a good share of their uses, and at least one in
+    RAREST_END of all ends."""
+    total = counts.where("kind = 'ends'").agg(F.sum("n")).first()[0] or 0
+    of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0)).alias(kind)
+    kept = counts.where("kind in ('end', 'mid')").groupBy("item").agg(of("end"), of("mid")).where((F.col("end") >= max(END_COUNT, total / RAREST_END)) & (F.col("end") >= END_SHARE * (F.col("end") + F.col("mid"))))
+    return frozenset(kept.select("item").toPandas()["item"])
+
+
+def breaks_off(text: str, ends: frozenset[str], left_open: Sequence[str] = ()) -> bool:
+    """Whether prose ends inside a sentence, or with what the parser found open: a tag, an empty list item, a bracket
+    or a quotation whose sentence has no end. A missing full stop alone is no break, nor is an open fence: the last two
+    words must be ones that do not end sentences."""
+    if left_open and left_open[-1] in ("<", "item"):
+        return True
     t = _FENCE.sub(" ", text).strip()
     parts = sentences(t)
     if not parts:
@@ -252,46 +305,69 @@ def breaks_off(text: str, ends: frozenset[str]) -> bool:
         return False
     if last.endswith(("…", "..", ",", ":", "-", "–", "(")):
         return True
+    if any(x in _SHUT for x in left_open):
+        return True
     return final_pair(last) not in ends
 
 
-def asked_language(question: str, model: Model) -> int | None:
-    """Language an answer is due in: the one the question names, else its own."""
+def named_language(question: str) -> int | None:
+    """The language that a question asks the answer to be in, if it names one."""
     for m in _ASKS.finditer(question):
         name = m.group(1).lower()
         for code, stems in _NAMED.items():
             if name.startswith(stems):
                 return LANGS.index(code)
-    return langid.guess(model, question, 3.0)
+    return None
 
 
-def defect(answer: str | None, question: str, model: Model, ends: frozenset[str]) -> str | None:
-    """The defect of an answer, or None: empty, refusal, truncated, copied or wrong_language, the first that holds."""
+def judge_form(answer: str | None, question: str, ends: frozenset[str]) -> tuple[str | None, list[str]]:
+    """(defect, what is said): empty, refusal, truncated or copied, the first that holds, or None."""
     if answer is None or is_nothing(answer):
-        return "empty"
+        return "empty", []
     p = parse(answer)
     if p.structured and p.closed and not p.filled and is_nothing(p.tail):
-        return "empty"
+        return "empty", []
     said = [v for v in p.values if len(tokens(v)) >= 2] + ([p.tail] if p.tail else [])
     if refuses(said):
-        return "refusal"
+        return "refusal", said
     if p.structured and not p.closed:
-        return "truncated"
-    if not p.structured and breaks_off(answer, ends):
-        return "truncated"
+        return "truncated", said
+    if not p.structured and breaks_off(answer, ends, p.open):
+        return "truncated", said
     head, blank, record = question.partition("\n\n")
     record = record if blank and record.strip() else question
-    if copies(said, record):
-        return "copied"
-    due = asked_language(question, model)
-    if due is not None:
-        score, n = np.zeros(len(LANGS)), 0
-        for v in said:
-            s, k = model.score(v)
-            score, n = score + s, n + k
-        if n >= 3 and score.max() - score[due] >= LANGUAGE_LEAD:
-            return "wrong_language"
-    return None
+    return ("copied" if copies(said, record) else None), said
+
+
+def wrong_language(said: str, due: int, score: np.ndarray, n: int) -> bool:
+    """Whether what is said is in another script than the language due, or more likely in another language."""
+    script = langid.script_of(said)
+    if script is not None and script != langid.script_due(due) and len(tokens(said)) >= 3:
+        return True
+    return n >= 3 and score.max() - score[due] >= LANGUAGE_LEAD
+
+
+def defects(answers_: Sequence[str | None], questions: Sequence[str], model: Model, ends: frozenset[str]) -> list[str | None]:
+    """The defect of each answer, or None: empty, refusal, truncated, copied or wrong_language, the first that holds. All
+    languages are looked up together."""
+    formed = [judge_form(a, q, ends) for a, q in zip(answers_, questions)]
+    open_ = [i for i, (d, said) in enumerate(formed) if d is None and said]
+    asked = list(dict.fromkeys(questions[i] for i in open_))
+    own, told = model.score_all([langid.spoken(q) for q in asked])
+    guessed = dict(zip(asked, np.where(told > 0, langid.leading(own, 3.0), -1).tolist() if asked else []))
+    scores, n = model.score_all([langid.spoken("\n".join(formed[i][1])) for i in open_])
+    out = [d for d, _ in formed]
+    for i, s, k in zip(open_, scores, n):
+        due = named_language(questions[i])
+        due = guessed[questions[i]] if due is None else due
+        if due >= 0 and wrong_language("\n".join(formed[i][1]), due, s, int(k)):
+            out[i] = "wrong_language"
+    return out
+
+
+def defect(answer: str | None, question: str, model: Model, ends: frozenset[str]) -> str | None:
+    """The defect of one answer."""
+    return defects([answer], [question], model, ends)[0]
 
 
 def answers(chats: DataFrame, key: str = "chat_id") -> DataFrame:
@@ -311,17 +387,16 @@ def find_defects(chats: DataFrame, key: str = "chat_id") -> DataFrame:
     """(key, answer_field, defect) of every unusable answer; at most one defect each.
 
     Nulls: no messages, no assistant message, a null content and a null description are empty answers. Very long
-    answers are read whole. Two bounded tables are learned from all texts first: language n-grams and sentence ends.
+    answers are read whole. Language words and sentence ends are learned from all texts first, in one pass over them.
     """
-    rows = answers(chats, key)
-    texts = rows.select(F.explode(F.array("question", "answer")).alias("t"))
-    model = langid.train(texts, "t")
-    shared = chats.sparkSession.sparkContext.broadcast((model, ends_learned(texts, "t")))
+    rows = cut(answers(chats, key))
+    counts = langid.count(rows.select(F.explode(F.array("question", "answer")).alias("t")), "t", extra=count_ends)
+    shared = chats.sparkSession.sparkContext.broadcast((langid.model_of(counts), ends_of(counts)))
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, ends = shared.value
         for b in batches:
-            b["defect"] = [defect(a, q or "", model, ends) for a, q in zip(b.pop("answer"), b.pop("question"))]
+            b["defect"] = defects(b.pop("answer").tolist(), [q or "" for q in b.pop("question")], model, ends)
             yield b[b["defect"].notna()]
 
     schema = rows.select(key, "answer_field").schema.add("defect", "string")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 
 from tarnwerk.llm import labels, langid
@@ -42,6 +43,12 @@ def test_sentences():
     assert sentences("") == []
 
 
-def test_prior_decides_only_doubt():
-    top, places = labels.smooth({"where": [("1\ten", 0, 50), ("2\tes", 1, 50), ("\t", 0, 1)]})
-    assert places["1"][0] > places["2"][0] and len(top) == len(langid.LANGS)
+def test_prior_decides_only_doubt(spark):
+    counts = spark.createDataFrame([("g0", "1\ten", 0, 50), ("g0", "2\tes", 1, 50), ("g0", "\t", 0, 1), ("g0", "3\ten", 1, 1), ("w", "x", 0, 9)], langid.COUNTS)
+    top, places = labels.place_priors(counts)
+    places = {r.place: r.prior for r in places.collect()}
+    assert places["1"][0] > places["3"][0] > places["2"][0] and len(top) == len(places["1"]) == len(langid.LANGS)
+    want = np.ones(len(langid.LANGS))
+    want[0], want[1] = 52, 52
+    on = (np.array([50, 1, 0, 0, 0, 0]) + labels.SMOOTHING * want / want.sum()) / (51 + labels.SMOOTHING)
+    assert np.allclose(places["3"], np.log((np.array([0, 1, 0, 0, 0, 0]) + labels.SMOOTHING * on) / (1 + labels.SMOOTHING)))

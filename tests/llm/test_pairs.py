@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import random
+
+import numpy as np
 import pytest
 
 from tarnwerk.llm import langid, pairs
@@ -33,6 +36,46 @@ def test_pushdown_parser():
     assert pairs.parse("plain").values == ["plain"]
 
 
+def test_parser_keeps_fences_lists_and_markup_on_the_stack():
+    assert pairs.parse("Here it is:\n```json\n{\"a\": \"b c\"}\n```").closed and pairs.parse("Here it is: {\"a\": \"b").open == ["}", '"']
+    assert pairs.parse("```\nClose the hall.").open == ["fence"] and pairs.parse("<ul><li>Close it</li><li>Tell").open == ["ul"]
+    assert pairs.parse("1. Close it.\n2. Tell them.\n3.").open == ["item"] and pairs.parse("See (item 3) and “that”.").open == []
+    for text, want in (("1. Close the hall.\n2.", True), ("```\nClose the hall.", False), ("Close it (see the", True), ("<p>Close the hall.</p><li", True)):
+        assert pairs.breaks_off(text, ENDS, pairs.parse(text).open) is want, text
+
+
+def test_script_tells_the_language():
+    due = langid.LANGS.index
+    assert pairs.wrong_language("Закрыть зону и сообщить смене", due("en"), np.zeros(6), 0) and not pairs.wrong_language("Закрыть зону и сообщить смене", due("ru"), np.zeros(6), 0)
+    assert pairs.wrong_language("关 闭 区 域", due("de"), np.zeros(6), 0) and langid.script_of("12 34") is None
+
+
+def test_tiling_against_brute_force():
+    rnd = random.Random(5)
+    for _ in range(400):
+        a, r = [rnd.choice("abc") for _ in range(rnd.randrange(12))], [rnd.choice("abcd") for _ in range(rnd.randrange(12))]
+        assert pairs.tiled(a, r, 2) == slow_tiles(a, r, 2)
+
+
+def slow_tiles(a, r, least):
+    """Greedy string tiling as published: all longest free matches of a round are placed, in order of position."""
+    fa, fr, covered = [True] * len(a), [True] * len(r), 0
+    while True:
+        best, longest = [], least - 1
+        for i in range(len(a)):
+            for j in range(len(r)):
+                n = 0
+                while i + n < len(a) and j + n < len(r) and fa[i + n] and fr[j + n] and a[i + n] == r[j + n]:
+                    n += 1
+                best, longest = ([(i, j)], n) if n > longest else ([*best, (i, j)], longest) if n == longest >= least else (best, longest)
+        if not best:
+            return covered
+        for i, j in best:
+            if all(fa[i : i + longest]) and all(fr[j : j + longest]):
+                fa[i : i + longest] = fr[j : j + longest] = [False] * longest
+                covered += longest
+
+
 def test_tiling_counts_words_once():
     assert pairs.tiled("a b c a b c".split(), "x a b c y".split()) == 3
     assert pairs.tiled([], []) == 0
