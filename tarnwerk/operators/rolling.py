@@ -1,18 +1,23 @@
 """Rolling totals over trailing periods, kept as versioned daily state (problem 7).
 
-The state of an entity on a day is yesterday's state plus today's arrivals less the amounts that expire today. Over a
-whole history that recursion is a running sum over change points; day by day it is ``advance``; late or changed
-amounts are ``correct``, which recomputes only the days they reach and writes them as a new version.
+The state of an entity on a day is yesterday's state plus today's arrivals less the amounts that expire today.
+``advance`` carries the state on by a block of days: the totals of the day before are joined with the arrivals and the
+expiring amounts of the block and added up day by day. ``maintain`` goes through a period block by block. Late or
+changed amounts are ``correct``, which recomputes only the days they reach and writes them as a new version;
+``latest`` reads the state. ``rolling_state`` gives the totals of a finished history in one pass.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnwerk.operators.lineage import cut
+
 
 def _total(m: str, w: int) -> str:
     return f"{m}_{w}d"
@@ -56,24 +61,64 @@ def rolling_state(daily: DataFrame, entity: str, day: str, measures: Sequence[st
     if entities is None:
         states = states.where(F.col("_live") > 0)
     out = states.select(entity, F.explode(F.sequence(begin, end)).alias(day), *names)
-    if averages:
-        out = out.withColumns({f"{_total(m, k)}_avg": F.col(_total(m, k)) / F.lit(float(k)) for m in measures for k in windows})
-    return out
+    return with_averages(out, measures, windows) if averages else out
 
 
-def advance(yesterday: DataFrame, daily: DataFrame, today: str, entity: str, day: str, measures: Sequence[str], windows: Sequence[int]) -> DataFrame:
-    """The state of ``today``: yesterday's totals joined with today's arrivals and the amounts expiring today.
+def advance(yesterday: DataFrame, daily: DataFrame, first: str, last: str, entity: str, day: str, measures: Sequence[str], windows: Sequence[int]) -> DataFrame:
+    """The state of the days [first, last]: the totals of the day before joined with what arrives and what expires.
 
-    yesterday: entity, totals. daily: the history of amounts, of which only today and the expiring days are read.
-    Entities that appear for the first time begin at zero; entities stay once they have a state. Version 0.
+    yesterday: entity, totals, _live (the rows of ``daily`` within the longest window). daily: the history of amounts,
+    of which only the block and the days that expire in it are read. The result has one row per entity and run of equal
+    days: entity, _from, _to, totals, _live. An entity without yesterday's totals begins at zero. One shuffle by
+    entity; a window partition holds at most (1 + number of windows) rows per active day of the block.
+    """
+    lo, hi = F.to_date(F.lit(first)), F.to_date(F.lit(last))
+    names = [_total(m, w) for m in measures for w in windows]
+    change = [F.struct(F.lit(0).alias("by"), F.lit(1).alias("sign"))] + [F.struct(F.lit(w).alias("by"), F.lit(-1).alias("sign")) for w in windows]
+    near = daily.where(F.col(day).between(F.date_add(lo, -max(windows)), hi)).withColumn("_c", F.explode(F.array(*change)))
+    at = F.date_add(F.col(day), F.col("_c.by"))
+    part = lambda w: F.when(F.col("_c.by") == 0, 1).when(F.col("_c.by") == w, -1).otherwise(0)
+    moves = near.select(entity, at.alias("_from"), part(max(windows)).cast("bigint").alias("_live"), *[(F.col(m) * part(w)).alias(_total(m, w)) for m in measures for w in windows]).where(F.col("_from").between(lo, hi))
+    opening = yesterday.select(entity, lo.alias("_from"), "_live", *names)
+    both = moves.unionByName(opening).groupBy(entity, "_from").agg(*[F.sum(n).alias(n) for n in ("_live", *names)])
+    by_day = Window.partitionBy(entity).orderBy("_from")
+    run = by_day.rowsBetween(Window.unboundedPreceding, 0)
+    until = F.coalesce(F.date_add(F.lead("_from").over(by_day), -1), hi)
+    return both.select(entity, "_from", until.alias("_to"), *[F.sum(n).over(run).alias(n) for n in ("_live", *names)])
+
+
+def maintain(daily: DataFrame, entity: str, day: str, measures: Sequence[str], windows: Sequence[int], first_day: str, last_day: str, block_days: int = 366) -> DataFrame:
+    """Version 0 of the state over [first_day, last_day], carried on block by block from the amounts before first_day.
+
+    One row per entity and day whose longest window holds a row of ``daily``. Each block's runs are cut, and the totals
+    of its last day are where the next begins; the driver holds nothing but the dates. Empty input gives no rows.
     """
-    now = F.to_date(F.lit(today))
-    changes = daily.where(F.col(day).isin(now, *[F.date_add(now, -w) for w in windows])).groupBy(entity).agg(*[
-        F.sum(F.when(F.col(day) == now, F.col(m)).when(F.col(day) == F.date_add(now, -w), -F.col(m)).otherwise(0)).alias(f"_{_total(m, w)}") for m in measures for w in windows
-    ])
-    both = yesterday.join(changes, entity, "full")
     names = [_total(m, w) for m in measures for w in windows]
-    return both.select(entity, now.alias(day), *[(F.coalesce(F.col(n), F.lit(0)) + F.coalesce(F.col(f"_{n}"), F.lit(0))).alias(n) for n in names], F.lit(0).alias("version"))
+    begin, end = dt.date.fromisoformat(first_day), dt.date.fromisoformat(last_day)
+    before = F.datediff(F.lit(first_day).cast("date"), F.col(day))
+    past = daily.where(before.between(1, max(windows)))
+    totals = [F.sum(F.when(before <= w, F.col(m)).otherwise(0)).alias(_total(m, w)) for m in measures for w in windows]
+    state = past.groupBy(entity).agg(F.count(F.lit(1)).alias("_live"), *totals)
+    out = None
+    while begin <= end:
+        last = min(end, begin + dt.timedelta(days=block_days - 1))
+        block = cut(advance(state, daily, begin.isoformat(), last.isoformat(), entity, day, measures, windows))
+        state = block.where(F.col("_to") == F.lit(last.isoformat()).cast("date")).select(entity, "_live", *names)
+        out = block if out is None else out.unionByName(block)
+        begin = last + dt.timedelta(days=1)
+    return out.where(F.col("_live") > 0).select(entity, F.explode(F.sequence("_from", "_to")).alias(day), *names, F.lit(0).alias("version"))
+
+
+def with_quiet_days(state: DataFrame, entities: DataFrame, entity: str, day: str, measures: Sequence[str], windows: Sequence[int], first_day: str, last_day: str) -> DataFrame:
+    """The state with a row of zeros for every day of an entity (one column, named as ``entity``) that it does not hold."""
+    names = [_total(m, w) for m in measures for w in windows]
+    days = entities.select(entity, F.explode(F.sequence(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))).alias(day), *[F.lit(0).cast("bigint").alias(n) for n in names])
+    return state.select(entity, day, *names).unionByName(days).groupBy(entity, day).agg(*[F.sum(n).alias(n) for n in names])
+
+
+def with_averages(state: DataFrame, measures: Sequence[str], windows: Sequence[int]) -> DataFrame:
+    """Adds {measure}_{w}d_avg, the total by the days of its window."""
+    return state.withColumns({f"{_total(m, k)}_avg": F.col(_total(m, k)) / F.lit(float(k)) for m in measures for k in windows})
 
 
 def correct(state: DataFrame, corrections: DataFrame, entity: str, day: str, measures: Sequence[str], windows: Sequence[int], first_day: str, last_day: str, version: int) -> DataFrame:

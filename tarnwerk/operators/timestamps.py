@@ -45,6 +45,12 @@ _CLOCK = r"^(?:(?:um|at|à|a las|às)\s+)?(\d{1,2})(?:[:h.](\d{2})|\s?(?=[AaPp]\
 _OFFSET = r"^(?:UTC|GMT)?([+-])(\d{1,2})(?::?(\d{2}))?(?::?(\d{2}))?(?:\s*[\[(].*[\])])?$"
 _ZONE = r"^[\[(]?([A-Za-z]+(?:/[A-Za-z0-9_+-]+)+)[\])]?$"
 
+#: The forms of a date and how each is laid out: its letter, then year, month, day (or the numbers as they stand) and the rest.
+_FORMS = (
+    (r"^(\d{9,10}|\d{12,13})$", "e|$1|||"), (_YEAR_FIRST, "y|$1|$3|$4|$5$6"), (_COMPACT, "c|$1|$2|$3|$4:$5:$6.$7 $8"),
+    (_NUMERIC, "n|$4|$1|$3|$5"), (_DAY_NAME, "d|$3|$2|$1|$4"), (_NAME_DAY, "m|$3|$1|$2|$4"),
+)
+
 
 def _month(c: Column) -> Column:
     out = F.lit(None).cast("int")
@@ -82,19 +88,15 @@ def parse_clock(df: DataFrame, value: str, month_first: Column, prefix: str = "_
     col = lambda n: F.col(p + n)
     at = lambda n, k: F.get(col(n), F.lit(k))
     # Every step is a column of its own: the next step refers to it more than once, and so it is computed once.
-    df = df.withColumn(f"{p}t", F.trim(F.regexp_replace(F.col(value), r"[\s\u00a0]+", " ")))
-    t = col("t")
-    form = (
-        F.when(t.rlike(r"^\d{9,10}$|^\d{12,13}$"), "e").when(t.rlike(_YEAR_FIRST), "y").when(t.rlike(_COMPACT), "c")
-        .when(t.rlike(_NUMERIC), "n").when(t.rlike(_DAY_NAME), "d").when(t.rlike(_NAME_DAY), "m")
-    )
-    df = df.withColumn(f"{p}f", form)
+    # One replacement per form, each over the result of the one before: what a form has taken begins with a mark that no
+    # later form can match, so a text is read by no more than the forms up to its own, and each only once.
+    t = F.trim(F.regexp_replace(F.col(value), r"[\s\u00a0\x01]+", " "))
+    for pattern, parts in _FORMS:
+        t = F.regexp_replace(t, pattern, "\x01" + parts)
+    df = df.withColumn(f"{p}a", F.split(t, r"\|", 5))
+    df = df.withColumn(f"{p}f", F.when(F.startswith(at("a", 0), F.lit("\x01")), F.substring(at("a", 0), 2, 1)))
+    df = df.withColumn(f"{p}a", F.when(col("f").isNotNull(), F.slice(col("a"), 2, 4)))
     f = col("f")
-    parts = (
-        F.when(f == "e", F.concat(t, F.lit("|||"))).when(f == "y", F.regexp_replace(t, _YEAR_FIRST, "$1|$3|$4|$5$6")).when(f == "c", F.regexp_replace(t, _COMPACT, "$1|$2|$3|$4:$5:$6.$7 $8"))
-        .when(f == "n", F.regexp_replace(t, _NUMERIC, "$4|$1|$3|$5")).when(f == "d", F.regexp_replace(t, _DAY_NAME, "$3|$2|$1|$4")).when(f == "m", F.regexp_replace(t, _NAME_DAY, "$3|$1|$2|$4"))
-    )
-    df = df.withColumn(f"{p}a", F.split(parts, r"\|", 4))
     # A compact date leaves "::." behind where it has no clock, "hh:mm:." where it has no seconds.
     rest = F.regexp_replace(F.regexp_replace(at("a", 3), r"^(\d{2}):(\d{2}):\.", "$1:$2 "), r"^::\.|(?<=\d)\.(?= |$)", "")
     year = _int(at("a", 0))
@@ -108,15 +110,18 @@ def parse_clock(df: DataFrame, value: str, month_first: Column, prefix: str = "_
     df = df.withColumns({f"{p}mo": F.when(swap, col("two")).otherwise(col("one")), f"{p}d": F.when(swap, col("one")).otherwise(col("two"))})
     df = df.withColumn(f"{p}day", epoch_day(col("y"), col("mo"), col("d")))
     r = col("r")
-    clock = F.when(r.rlike(_CLOCK), F.regexp_replace(r, _CLOCK, "$1|$2|$3|$4|$5|$6")).otherwise(F.concat(F.lit("|||||"), F.coalesce(r, F.lit(""))))
-    df = df.withColumn(f"{p}c", F.split(clock, r"\|", 6))
+    df = df.withColumn(f"{p}c", F.split(F.regexp_replace(F.coalesce(r, F.lit("")), _CLOCK, "\x01$1|$2|$3|$4|$5|$6"), r"\|", 6))
+    # Without a clock all that is left is the zone.
+    none = F.concat(F.array(*[F.lit("")] * 5), F.array(F.coalesce(r, F.lit(""))))
+    df = df.withColumn(f"{p}c", F.when(F.startswith(at("c", 0), F.lit("\x01")), F.concat(F.array(F.substring(at("c", 0), 2, 2)), F.slice(col("c"), 2, 5))).otherwise(none))
     hour, half = _int(at("c", 0)), F.lower(at("c", 4))
     df = df.withColumns({
         f"{p}h": F.when(at("c", 0) == "", 0).when(half == "", hour).when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0)),
         f"{p}mi": F.when(at("c", 1) == "", 0).otherwise(_int(at("c", 1))), f"{p}s": F.when(at("c", 2) == "", 0).otherwise(_int(at("c", 2))), f"{p}z": F.trim(at("c", 5)),
     })
     zone = col("z")
-    df = df.withColumn(f"{p}o", F.when(zone.rlike(_OFFSET), F.split(F.regexp_replace(zone, _OFFSET, "$1|$2|$3|$4"), r"\|")))
+    df = df.withColumn(f"{p}o", F.when(zone.rlike("[0-9]"), F.split(F.regexp_replace(zone, _OFFSET, "\x01$1|$2|$3|$4"), r"\|")))
+    df = df.withColumn(f"{p}o", F.when(F.startswith(at("o", 0), F.lit("\x01")), F.concat(F.array(F.substring(at("o", 0), 2, 1)), F.slice(col("o"), 2, 3))))
     o = lambda k: F.coalesce(_int(at("o", k)), F.lit(0))
     off_s = F.when(zone.rlike(r"^(?i)(?:Z|UTC|Zulu)(?:\s*\[.*\])?$") | (f == "e"), 0).when(
         col("o").isNotNull() & (o(1) <= 18) & (o(2) <= 59), (o(1) * 3600 + o(2) * 60 + o(3)) * F.when(at("o", 0) == "-", -1).otherwise(1)
@@ -130,7 +135,7 @@ def parse_clock(df: DataFrame, value: str, month_first: Column, prefix: str = "_
     local_s = F.when(f == "e", F.when(is_ms, F.floor(bare / 1000)).otherwise(bare)).when(good, col("day") * DAY + col("h") * 3600 + col("mi") * 60 + col("s"))
     us = F.when((f == "e") & is_ms, (bare % 1000) * 1000).when(at("c", 3) == "", 0).otherwise(_int(F.rpad(F.substring(at("c", 3), 1, 6), 6, "0")))
     df = df.withColumns({f"{p}local_s": local_s.cast("bigint"), f"{p}us": F.coalesce(us, F.lit(0)).cast("int")})
-    return df.withColumn(f"{p}year", span_year(col("local_s"))).drop(*[p + n for n in ("t", "f", "a", "y", "one", "two", "r", "m", "mo", "d", "day", "c", "h", "mi", "s", "z", "o")])
+    return df.withColumn(f"{p}year", span_year(col("local_s"))).drop(*[p + n for n in ("f", "a", "y", "one", "two", "r", "m", "mo", "d", "day", "c", "h", "mi", "s", "z", "o")])
 
 
 def offset_spans(zone: str, first_year: int = FIRST_YEAR, last_year: int = LAST_YEAR) -> list[tuple[int, int, int]]:
@@ -174,11 +179,12 @@ def offset_intervals(spark: SparkSession, zones: Iterable[str], first_year: int
     return spark.createDataFrame(rows, "zone_key string, year int, spans array<struct<lo: bigint, hi: bigint, off: int>>")
 
 
-def zones_used(df: DataFrame, value: str, place_zone: str) -> list[str]:
-    """The zones of the places and those that texts name, of those in the tz database (an action; at most 600)."""
+def zones_used(texts: DataFrame, value: str, places: DataFrame, place_zone: str) -> list[str]:
+    """The zones of the places and those that texts name, of those in the tz database (an action; at most 600). The
+    texts may be raw deliveries: a zone more than is used does no harm, and nothing has to be deduplicated first."""
     names = {n.lower(): n for n in sorted(zoneinfo.available_timezones()) if "/" in n or n in ("UTC", "GMT")}
-    written = F.lower(F.regexp_extract(F.col(value), r"([A-Za-z]+(?:/[A-Za-z0-9_+-]+)+)", 1))
-    both = df.select(F.explode(F.array(F.lower(F.trim(F.col(place_zone))), written)).alias("zone_key"))
+    written = texts.where(F.col(value).rlike("[A-Za-z]/[A-Za-z]")).select(F.lower(F.regexp_extract(F.col(value), r"([A-Za-z]+(?:/[A-Za-z0-9_+-]+)+)", 1)).alias("zone_key"))
+    both = places.select(F.lower(F.trim(F.col(place_zone))).alias("zone_key")).unionByName(written)
     return [names[r.zone_key] for r in both.where(F.col("zone_key").isin(*names)).distinct().collect()]
 
 
@@ -204,7 +210,7 @@ def normalise(df: DataFrame, value: str, place_zone: str, locale: str, intervals
     are not shuffled. Columns named _t_* and spans are reserved.
     """
     month_first = F.when(F.col(place_zone).isNotNull() | F.col(locale).isNotNull(), F.coalesce(F.trim(F.col(locale)), F.lit("")) == "en-US")
-    intervals = offset_intervals(df.sparkSession, zones_used(df, value, place_zone)) if intervals is None else intervals
+    intervals = offset_intervals(df.sparkSession, zones_used(df, value, df, place_zone)) if intervals is None else intervals
     out = parse_clock(df, value, month_first)
     out = out.withColumn("_t_key", F.coalesce("_t_zone", F.lower(F.trim(F.col(place_zone)))))
     look = F.broadcast(intervals.select(F.col("zone_key").alias("_t_key"), F.col("year").alias("_t_year"), F.col("spans").alias("_t_spans")))

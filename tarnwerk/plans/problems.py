@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tarnwerk.functions.scalars import id_number, norm_id, truthy
 from tarnwerk.operators import references, rolling, timestamps
 from tarnwerk.operators.joins import first_delivery, lookup_join
+from tarnwerk.operators.lineage import cut
 from tarnwerk.sources.tables import table
 
 FIRST_DAY, LAST_DAY = "2021-01-01", "2025-06-30"
@@ -51,8 +52,18 @@ def dated_values(spark: SparkSession, d: str) -> DataFrame:
     return lookup_join(rows, places(spark, d), "place")
 
 
+def intervals(spark: SparkSession, d: str, fields: dict[str, tuple[str, ...]]) -> DataFrame:
+    """The offset intervals of the zones of all places and of all zones named in the date columns of tables."""
+    texts = None
+    for name, columns in fields.items():
+        one = table(spark, d, name).select(F.explode(F.array(*columns)).alias("text"))
+        texts = one if texts is None else texts.unionByName(one)
+    return timestamps.offset_intervals(spark, timestamps.zones_used(texts, "text", places(spark, d), "time_zone"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    out = timestamps.normalise(dated_values(spark, d), "text", "time_zone", "locale_code")
+    spans = intervals(spark, d, {"incident_view": ("incident_date", "report_date"), "task_view": ("due_date",)})
+    out = timestamps.normalise(dated_values(spark, d), "text", "time_zone", "locale_code", spans)
     return out.select("table_name", "record_id", "field_name", F.when(F.col("status") == "ok", timestamps.utc_text(F.col("utc_s"), F.col("us"))).otherwise(F.col("status")).alias("utc_text"))
 
 
@@ -70,7 +81,7 @@ def incident_days(spark: SparkSession, d: str) -> DataFrame:
     inc = first_delivery(table(spark, d, "incident_view"), "incident_id", ["incident_date", "location_id"])
     inc = inc.select("incident_id", F.col("incident_date").alias("text"), norm_id(F.col("location_id")).alias("place"), F.col("loaded_at").alias("arrived")).where(F.trim("text") != "")
     known = lookup_join(inc, places(spark, d), "place", "inner")
-    spans = timestamps.offset_intervals(spark, timestamps.zones_used(known, "text", "time_zone"))
+    spans = intervals(spark, d, {"incident_view": ("incident_date",)})
     out = timestamps.normalise(known, "text", "time_zone", "locale_code", spans).where(F.col("status") != "invalid")
     look = F.broadcast(spans.select(F.col("zone_key").alias("time_zone"), F.col("year").alias("_y"), F.col("spans").alias("_s")))
     out = out.withColumn("_y", timestamps.span_year(F.col("utc_s"))).join(look, ["time_zone", "_y"], "left")
@@ -86,26 +97,36 @@ def incident_days(spark: SparkSession, d: str) -> DataFrame:
 MEASURES, WINDOWS = ("incidents", "lost_time"), (7, 30)
 
 
+#: An incident that is delivered later than so many days after its day is a correction of the state.
+LAG_DAYS = 14
+
+
+def rolling_versions(spark: SparkSession, d: str, lag_days: int = LAG_DAYS) -> DataFrame:
+    """The daily state as versions: 0 kept day by day from incidents that arrive within ``lag_days``, 1 the days that
+    later ones correct."""
+    rows = incident_days(spark, d)
+    late = F.col("arrived").isNull() | (F.datediff("arrived", "day") > lag_days)
+    daily = cut(rows.groupBy("location_id", "day", late.alias("late")).agg(*[F.sum(m).alias(m) for m in MEASURES]))
+    first = rolling.maintain(daily.where(~F.col("late")).drop("late"), "location_id", "day", MEASURES, WINDOWS, FIRST_DAY, LAST_DAY)
+    fixed = rolling.correct(first, daily.where("late"), "location_id", "day", MEASURES, WINDOWS, FIRST_DAY, LAST_DAY, version=1)
+    return first.unionByName(fixed)
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    daily = rolling.daily_amounts(incident_days(spark, d), "location_id", "day", MEASURES)
-    out = rolling.rolling_state(daily, "location_id", "day", MEASURES, WINDOWS, FIRST_DAY, LAST_DAY)
+    out = rolling.latest(rolling_versions(spark, d), "location_id", "day")
     return out.select("location_id", F.col("day").cast("string").alias("day_text"), "incidents_7d", "incidents_30d", "lost_time_7d", "lost_time_30d")
 
 
 def p7_averages(spark: SparkSession, d: str) -> DataFrame:
     """Totals and daily averages of every location and day, quiet days included."""
-    daily = rolling.daily_amounts(incident_days(spark, d), "location_id", "day", MEASURES)
     every = table(spark, d, "location_view").where(F.col("location_id").isNotNull()).select("location_id").distinct()
-    return rolling.rolling_state(daily, "location_id", "day", MEASURES, WINDOWS, FIRST_DAY, LAST_DAY, entities=every, averages=True)
+    state = rolling.latest(rolling_versions(spark, d), "location_id", "day").drop("version")
+    return rolling.with_averages(rolling.with_quiet_days(state, every, "location_id", "day", MEASURES, WINDOWS, FIRST_DAY, LAST_DAY), MEASURES, WINDOWS)
 
 
-def p7_versions(spark: SparkSession, d: str, lag_days: int = 14) -> DataFrame:
-    """The state as versions: 0 from incidents that arrived within ``lag_days``, 1 the days that later ones correct."""
-    rows = incident_days(spark, d)
-    late = F.col("arrived").isNull() | (F.datediff("arrived", "day") > lag_days)
-    first = rolling.rolling_state(rolling.daily_amounts(rows.where(~late), "location_id", "day", MEASURES), "location_id", "day", MEASURES, WINDOWS, FIRST_DAY, LAST_DAY)
-    fixed = rolling.correct(first, rows.where(late), "location_id", "day", MEASURES, WINDOWS, FIRST_DAY, LAST_DAY, version=1)
-    return first.withColumn("version", F.lit(0)).unionByName(fixed)
+def p7_versions(spark: SparkSession, d: str) -> DataFrame:
+    """All versions of the state, with the days they hold."""
+    return rolling_versions(spark, d)
 
 
 def p7_events(spark: SparkSession, d: str) -> DataFrame:

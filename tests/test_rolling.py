@@ -46,16 +46,28 @@ def test_nulls_and_empty(spark):
     assert as_dict(state(spark, [(None, lo, 1), (1, None, 1), (1, lo, None)], lo, D(2024, 1, 1))) == {(1, lo): (0, 0)}
 
 
-def test_advance_agrees_with_the_whole(spark):
-    rows = [(1, D(2024, 1, 1), 2), (1, D(2024, 1, 5), 3), (2, D(2024, 1, 8), 1)]
+def test_maintained_day_by_day_or_in_blocks_agrees_with_the_whole(spark):
+    rnd = random.Random(2)
+    lo, hi = D(2024, 1, 1), D(2024, 4, 30)
+    rows = [(rnd.randrange(4), D(2023, 11, 20) + dt.timedelta(rnd.randrange(170)), rnd.randrange(0, 4)) for _ in range(50)]
+    daily = r.daily_amounts(spark.createDataFrame(rows, SCHEMA), "e", "day", ["n"])
+    for block in (17, 60, 366):
+        got = r.maintain(daily, "e", "day", ["n"], [7, 30], str(lo), str(hi), block_days=block)
+        assert got.count() == len(as_dict(got))
+        assert as_dict(got) == brute(rows, lo, hi, (7, 30))
+    few = (D(2024, 2, 1), D(2024, 2, 4))
+    assert as_dict(r.maintain(daily, "e", "day", ["n"], [7, 30], str(few[0]), str(few[1]), block_days=1)) == brute(rows, *few, (7, 30))
+    assert r.maintain(daily.limit(0), "e", "day", ["n"], [7, 30], str(lo), str(hi)).count() == 0
+
+
+def test_quiet_days_and_averages(spark):
+    rows = [(1, D(2024, 1, 2), 7)]
     daily = r.daily_amounts(spark.createDataFrame(rows, SCHEMA), "e", "day", ["n"])
-    now = spark.createDataFrame([], "e bigint, day date, n_7d bigint, n_30d bigint, version int")
-    day = D(2024, 1, 1)
-    while day <= D(2024, 1, 9):
-        now = spark.createDataFrame(r.advance(now, daily, str(day), "e", "day", ["n"], [7, 30]).collect(), now.schema)
-        day += dt.timedelta(1)
-    got = {x.e: (x.n_7d, x.n_30d) for x in now.collect()}
-    assert got == {e: t for (e, d), t in brute(rows, D(2024, 1, 9), D(2024, 1, 9), (7, 30)).items()}
+    state = r.maintain(daily, "e", "day", ["n"], [7, 30], "2024-01-01", "2024-02-29")
+    every = spark.createDataFrame([(1,), (2,)], "e bigint")
+    full = r.with_averages(r.with_quiet_days(state, every, "e", "day", ["n"], [7, 30], "2024-01-01", "2024-02-29"), ["n"], [7, 30])
+    assert as_dict(full) == brute(rows, D(2024, 1, 1), D(2024, 2, 29), (7, 30), every=[1, 2])
+    assert full.where("e = 1 and day = '2024-01-08'").first().n_7d_avg == 1.0
 
 
 def test_corrections_recompute_only_what_they_reach(spark):
