@@ -7,12 +7,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnwerk.operators.lineage import cut
+from tarnwerk.operators.windows import running
+
 
 def value_counts(df: DataFrame, column: str, out: str = "value", unknown: str = "Unknown") -> DataFrame:
     """(out, n, percent) of every value; null and blank count as ``unknown``; percent of all rows, 4 decimals."""
     v = F.coalesce(F.nullif(F.trim(F.col(column).cast("string")), F.lit("")), F.lit(unknown))
     counts = df.groupBy(v.alias(out)).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("percent", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy()), 4))
+    total = df.agg(F.count(F.lit(1)).alias("_all"))
+    return counts.crossJoin(F.broadcast(total)).select(out, "n", F.round(F.col("n") * 100.0 / F.col("_all"), 4).alias("percent"))  # one row
 
 
 def conditional_counts(df: DataFrame, keys: Sequence[str], conditions: Mapping[str, Column], extra: Sequence[Column] = ()) -> DataFrame:
@@ -45,14 +49,48 @@ def metric_table(df: DataFrame, metrics: Mapping[str, Column]) -> DataFrame:
     return one.unpivot([], list(metrics), "metric", "n")
 
 
+def value_table(df: DataFrame, group: str, value: str) -> DataFrame:
+    """(group, value, n): how often each value occurs in each group; nulls are left out. Combined before the shuffle."""
+    return df.where(F.col(value).isNotNull()).groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
+
+
+def quantiles(values: DataFrame, group: str, value: str, at: Mapping[str, float]) -> DataFrame:
+    """(group, names of ``at``): exact quantiles with linear interpolation, from a value_table.
+
+    Values are ranked by running counts over a range sort, so no task holds the values of a group; of each group only
+    the two values around each quantile meet. A null group is left out.
+    """
+    r = running(values.where(F.col(group).isNotNull()), [group, value], {"_before": F.col("n")})
+    first = r.groupBy(group).agg(F.min("_before").alias("_first"), F.sum("n").alias("_n"))
+    r = r.join(first, group).withColumn("_at", F.col("_before") - F.col("_first"))
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((F.col("_at") <= rank) & (rank < F.col("_at") + F.col("n")), F.col(value)))
+
+    parts = []
+    for name, q in at.items():
+        h = (F.col("_n") - 1) * F.lit(float(q))
+        parts += [value_at(F.floor(h)).alias(f"_lo_{name}"), value_at(F.ceil(h)).alias(f"_hi_{name}"), F.max(h - F.floor(h)).alias(f"_f_{name}")]
+    g = r.groupBy(group).agg(*parts)
+    return g.select(group, *[(F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_f_{n}")).alias(n) for n in at])
+
+
 def numeric_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per column: missing, distinct, mean, population deviation, median, p75, p90, max, non-zero share of all rows."""
+    """Per column: missing, distinct, mean, population deviation, median, p75, p90, max, non-zero share of all rows.
+
+    Sums are combined in one pass; distinct values and quantiles come from the table of values (value_table), which no
+    task holds as a whole.
+    """
     long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], list(columns), "feature", "v")
-    q = F.percentile("v", F.array(F.lit(0.5), F.lit(0.75), F.lit(0.9)))
-    return long.groupBy("feature").agg(
-        F.count_if(F.col("v").isNull()).alias("missing"), F.count_distinct("v").alias("distinct_values"), F.round(F.avg("v"), 4).alias("mean"), F.round(F.stddev_pop("v"), 4).alias("std"),
-        F.round(q[0], 4).alias("median"), F.round(q[1], 4).alias("p75"), F.round(q[2], 4).alias("p90"), F.max("v").alias("max"), F.round(F.avg((F.coalesce("v", F.lit(0.0)) != 0).cast("double")), 6).alias("nonzero_share"),
+    sums = long.groupBy("feature").agg(
+        F.count_if(F.col("v").isNull()).alias("missing"), F.round(F.avg("v"), 4).alias("mean"), F.round(F.stddev_pop("v"), 4).alias("std"), F.max("v").alias("max"),
+        F.round(F.avg((F.coalesce("v", F.lit(0.0)) != 0).cast("double")), 6).alias("nonzero_share"),
     )
+    values = cut(value_table(long, "feature", "v"))
+    distinct = values.groupBy("feature").agg(F.count(F.lit(1)).alias("distinct_values"))
+    q = quantiles(values, "feature", "v", {"median": 0.5, "p75": 0.75, "p90": 0.9})
+    out = sums.join(distinct, "feature", "left").join(q, "feature", "left")  # a row per feature
+    return out.select("feature", "missing", F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"), "mean", "std", *[F.round(c, 4).alias(c) for c in ("median", "p75", "p90")], "max", "nonzero_share")
 
 
 def mode(column: str) -> Column:

@@ -50,15 +50,21 @@ def agglomerate(centroids: list[tuple[int, list[float], float]], most_distance:
     x = np.array([c[1] for c in centroids], dtype=float)
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
     d = 1 - x @ x.T
-    groups = [[i] for i in range(len(ids))]
+    groups: dict[int, list[int]] = {i: [i] for i in range(len(ids))}
+    np.fill_diagonal(d, np.inf)
+    # Joining two groups makes their distance to any other the mean weighted by size: one row of the matrix is renewed.
     while len(groups) > 1:
-        best = min(((float(d[np.ix_(a, b)].mean()), i, j) for i, a in enumerate(groups) for j, b in enumerate(groups) if i < j), key=lambda v: v)
-        if best[0] > most_distance:
+        i, j = sorted(int(v) for v in np.unravel_index(np.argmin(d), d.shape))
+        if d[i, j] > most_distance:
             break
-        groups[best[1]] += groups.pop(best[2])
+        m, n = len(groups[i]), len(groups[j])
+        d[i] = d[:, i] = (m * d[i] + n * d[j]) / (m + n)
+        d[i, i] = np.inf
+        d[j] = d[:, j] = np.inf
+        groups[i] += groups.pop(j)
     weight = [c[2] for c in centroids]
-    groups.sort(key=lambda g: (-sum(weight[i] for i in g), min(ids[i] for i in g)))
-    return {ids[i]: n for n, g in enumerate(groups) for i in g}
+    ordered = sorted(groups.values(), key=lambda g: (-sum(weight[i] for i in g), min(ids[i] for i in g)))
+    return {ids[i]: n for n, g in enumerate(ordered) for i in g}
 
 
 def preprocess(numeric: list[str], categorical: list[str], out: str = "features") -> Pipeline:

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnwerk.operators.windows import ranked, running
+
 
 def curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """(score, pos, neg, above_pos, above_neg): per distinct score the labels at it and above it.
 
-    Reduced to one row per distinct score first; the running sum over those is the only ordered step. Rows without a
-    score or label are left out.
+    Reduced to one row per distinct score first; the running sums over those are made by range, never in one task. Rows
+    without a score or label are left out.
     """
     g = df.where(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).alias("score")).agg(F.sum(F.col(label).cast("bigint")).alias("pos"), F.sum((1 - F.col(label)).cast("bigint")).alias("neg"))
-    w = Window.partitionBy().orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1)
-    return g.withColumns({"above_pos": F.coalesce(F.sum("pos").over(w), F.lit(0)), "above_neg": F.coalesce(F.sum("neg").over(w), F.lit(0))})
+    return running(g, [F.desc("score")], {"above_pos": F.col("pos"), "above_neg": F.col("neg")})
 
 
 def summary(df: DataFrame, label: str, score: str, threshold: float) -> DataFrame:
@@ -35,10 +36,8 @@ def summary(df: DataFrame, label: str, score: str, threshold: float) -> DataFram
 
 def capture_at(df: DataFrame, label: str, score: str, share: float, tie: str) -> DataFrame:
     """Recall, precision and lift among the best ceil(share x n) scores."""
-    from tarnwerk.operators.windows import ranked
-
     r = ranked(df.select(label, score, tie), score, [tie])
-    n = r.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("p"))
+    n = df.agg(F.count(F.lit(1)).alias("n"), F.sum(label).alias("p"))
     x = r.crossJoin(F.broadcast(n)).where(F.col("rank_no") <= F.ceil(F.col("n") * share)).agg(F.sum(label).alias("hit"), F.count(F.lit(1)).alias("k"), F.max("n").alias("n"), F.max("p").alias("p"))  # one row
     prec = F.col("hit") / F.col("k")
     return x.select("k", "hit", F.round(F.try_divide("hit", "p"), 6).alias("recall"), F.round(prec, 6).alias("precision"), F.round(F.try_divide(prec * F.col("n"), F.col("p")), 6).alias("lift"))

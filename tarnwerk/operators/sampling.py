@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarnwerk.operators.aggregates import quantiles, value_table
+from tarnwerk.operators.windows import rank_within
+
 
 def key_of(column: str, seed: int) -> Column:
     """A hash in [0, 2^60) of an id and a seed, the same in any engine with md5."""
@@ -21,11 +24,10 @@ def uniform(df: DataFrame, column: str, n: int, seed: int = 7) -> DataFrame:
 def stratified(df: DataFrame, stratum: str, column: str, share: float, least: int = 1, seed: int = 7) -> DataFrame:
     """A share of every stratum, at least ``least`` rows of each; nulls are a stratum of their own.
 
-    The cut is a rank among the hashes of the stratum.
+    The cut is a rank among the hashes of the stratum (rank_within): a stratum of any size is shared by many tasks.
     """
-    w = Window.partitionBy(stratum)
-    out = df.withColumns({"_r": F.row_number().over(w.orderBy(key_of(column, seed), column)), "_n": F.count(F.lit(1)).over(w)})
-    return out.where(F.col("_r") <= F.greatest(F.ceil(F.col("_n") * share), F.lit(least))).drop("_r", "_n")
+    out = rank_within(df.withColumn("_k", key_of(column, seed)), stratum, ["_k", column], "_r", "_n")
+    return out.where(F.col("_r") <= F.greatest(F.ceil(F.col("_n") * share), F.lit(least))).drop("_k", "_r", "_n")
 
 
 def weighted(df: DataFrame, weight: str, column: str, n: int, seed: int = 7) -> DataFrame:
@@ -48,9 +50,9 @@ def split(df: DataFrame, column: str, shares: Sequence[tuple[str, float]], seed:
 
 def newest(df: DataFrame, time: str, share: float, out: str = "part") -> DataFrame:
     """``test`` for rows after the (1 - share) quantile of time, ``train`` otherwise and for rows without a time."""
-    cut = df.agg(F.percentile(F.unix_micros(F.col(time).cast("timestamp")), 1 - share).alias("_cut"))
-    late = F.unix_micros(F.col(time).cast("timestamp")) > F.col("_cut")
-    return df.crossJoin(F.broadcast(cut)).withColumn(out, F.when(late, "test").otherwise("train")).drop("_cut")  # one row
+    us = F.unix_micros(F.col(time).cast("timestamp"))
+    cut = quantiles(value_table(df.select(F.lit(0).alias("_g"), us.alias("_us")), "_g", "_us"), "_g", "_us", {"_cut": 1 - share}).select("_cut")
+    return df.join(F.broadcast(cut), F.lit(True), "left").withColumn(out, F.when(us > F.col("_cut"), "test").otherwise("train")).drop("_cut")  # one row
 
 
 def last_periods(df: DataFrame, period: str, n: int, out: str = "part") -> DataFrame:

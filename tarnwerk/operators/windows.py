@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnwerk.operators.lineage import cut
+
 
 def month_panel(facts: DataFrame, entity: Sequence[str], month: str) -> DataFrame:
     """Every entity in every month between the first and last of the data: the dense panel that row frames rely on.
@@ -69,23 +71,46 @@ def trend_flag(rows: DataFrame, group: Sequence[str], order: str, measure: str,
     return g.select(*group, "periods", F.round("_a", 4).alias("recent_mean"), F.round("_b", 4).alias("earlier_mean"), flag.alias("trend"))
 
 
-def ranked(df: DataFrame, score: str, tie: Sequence[str], tiers: Sequence[tuple[str, float]] = (("top", 0.05), ("high", 0.10), ("watch", 0.25)), rest: str = "other") -> DataFrame:
-    """Adds rank_no by falling score (ties by ``tie``), percentile among the rising scores, and the tier of the rank's
-    fraction.
+def running(df: DataFrame, order: Sequence[Column | str], sums: Mapping[str, Column]) -> DataFrame:
+    """Adds per name of ``sums`` the sum over all rows before a row in a total order; null counts as 0.
 
-    The global rank is made in two steps, so that no task sorts the whole table: rows are sorted by range across the
-    cluster, partition sizes give each partition's offset, and ranks are counted within partitions.
+    No task sees all rows: they are sorted by range across the cluster and cut, so that partitions stay as they are;
+    the sums of whole partitions, one row each, give the offsets, and the rest is added up within partitions.
     """
-    s = df.orderBy(F.desc_nulls_last(score), *tie).withColumns({"_p": F.spark_partition_id(), "_m": F.monotonically_increasing_id()})
-    w = Window.partitionBy("_p").orderBy("_m")
-    sizes = s.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
-    off = sizes.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_off"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
-    out = s.withColumn("_i", F.row_number().over(w)).join(F.broadcast(off), "_p")
-    out = out.withColumn("rank_no", F.col("_i") + F.col("_off")).withColumn("percentile", F.round((F.col("_all") - F.col("rank_no") + 1) / F.col("_all"), 6))
+    names = list(sums)
+    held = df.withColumns({f"_v{i}": F.coalesce(c, F.lit(0)) for i, c in enumerate(sums.values())})
+    s = cut(held.orderBy(*order).withColumns({"_p": F.spark_partition_id(), "_m": F.monotonically_increasing_id()}))
+    w = Window.partitionBy("_p").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
+    parts = s.groupBy("_p").agg(*[F.sum(f"_v{i}").alias(f"_t{i}") for i in range(len(names))])
+    before = Window.partitionBy().orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    offsets = parts.select("_p", *[F.coalesce(F.sum(f"_t{i}").over(before), F.lit(0)).alias(f"_o{i}") for i in range(len(names))])
+    out = s.join(F.broadcast(offsets), "_p")
+    out = out.withColumns({n: F.col(f"_o{i}") + F.coalesce(F.sum(f"_v{i}").over(w), F.lit(0)) for i, n in enumerate(names)})
+    return out.drop("_p", "_m", *[f"{x}{i}" for x in ("_v", "_o") for i in range(len(names))])
+
+
+def ranked(df: DataFrame, score: str, tie: Sequence[str], tiers: Sequence[tuple[str, float]] = (("top", 0.05), ("high", 0.10), ("watch", 0.25)), rest: str = "other", total: str = "_all") -> DataFrame:
+    """Adds rank_no by falling score (ties by ``tie``), percentile among the rising scores, and the tier of the rank's
+    fraction; with another name for ``total`` also the number of rows. The global rank is a running count (``running``)."""
+    out = running(df, [F.desc_nulls_last(score), *tie], {"_before": F.lit(1).cast("bigint")})
+    n = df.agg(F.count(F.lit(1)).alias(total))
+    out = out.crossJoin(F.broadcast(n)).withColumn("rank_no", F.col("_before") + 1)  # one row
+    out = out.withColumn("percentile", F.round((F.col(total) - F.col("rank_no") + 1) / F.col(total), 6))
     tier = F.lit(rest)
     for name, share in reversed(tiers):
-        tier = F.when(F.col("rank_no") / F.col("_all") <= share, name).otherwise(tier)
-    return out.withColumn("tier", tier).drop("_p", "_m", "_i", "_off", "_all", "_n")
+        tier = F.when(F.col("rank_no") / F.col(total) <= share, name).otherwise(tier)
+    return out.withColumn("tier", tier).drop("_before", *(["_all"] if total == "_all" else []))
+
+
+def rank_within(df: DataFrame, group: str, order: Sequence[Column | str], out: str = "rank_no", total: str | None = None) -> DataFrame:
+    """Adds the rank of a row in its group, null being a group of its own, and with ``total`` the size of the group. A
+    group of any size is shared by many tasks: rows are ranked as a whole, and each group's first rank is taken off."""
+    r = running(df, [F.col(group).asc_nulls_first(), *order], {"_before": F.lit(1).cast("bigint")})
+    first = r.groupBy(F.col(group).alias("_g")).agg(F.min("_before").alias("_first"), F.count(F.lit(1)).alias("_size"))
+    both = r.join(first, F.col(group).eqNullSafe(F.col("_g"))).withColumn(out, F.col("_before") - F.col("_first") + 1)
+    if total:
+        both = both.withColumn(total, F.col("_size"))
+    return both.drop("_g", "_before", "_first", "_size")
 
 
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k: int, out: str = "rank_no") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 
 from tarnwerk.operators import retrieval, sampling
+from tarnwerk.operators.aggregates import quantiles, value_table
 from tarnwerk.operators.windows import top_per_group
 from tarnwerk.plans._register import Register
 from tarnwerk.plans.records import _CL, _EV, _events, clustered
@@ -158,8 +159,10 @@ def dt7_date_quality(t):
 
 @R.add("SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.25), 4) AS q25, round(quantile_cont(l_extendedprice, 0.75), 4) AS q75, round(avg(ln(1 + l_quantity)), 5) AS mean_log, round(avg(1 / (1 + exp(-l_discount))), 5) AS mean_sigmoid FROM lineitem GROUP BY 1")
 def ma4_numeric(t):
-    q = F.percentile("l_extendedprice", F.array(F.lit(0.25), F.lit(0.75)))
-    return t("lineitem").groupBy("l_returnflag").agg(F.round(q[0], 4).alias("q25"), F.round(q[1], 4).alias("q75"), F.round(F.avg(F.log1p("l_quantity")), 5).alias("mean_log"), F.round(F.avg(1 / (1 + F.exp(-F.col("l_discount")))), 5).alias("mean_sigmoid"))
+    li = t("lineitem")
+    q = quantiles(value_table(li, "l_returnflag", "l_extendedprice"), "l_returnflag", "l_extendedprice", {"q25": 0.25, "q75": 0.75})
+    m = li.groupBy("l_returnflag").agg(F.round(F.avg(F.log1p("l_quantity")), 5).alias("mean_log"), F.round(F.avg(1 / (1 + F.exp(-F.col("l_discount")))), 5).alias("mean_sigmoid"))
+    return q.join(m, "l_returnflag").select("l_returnflag", F.round("q25", 4).alias("q25"), F.round("q75", 4).alias("q75"), "mean_log", "mean_sigmoid")
 
 
 @R.add("SELECT subject_code, array_to_string(list_sort(list_distinct(list_transform(string_split_regex(array_to_string(keywords, '; ') || ' ; ' || subject_name, '[;,|]'), lambda x: lower(trim(x))))), '|') AS items FROM subject_areas")

@@ -491,9 +491,8 @@ def tk2_top_locations(t):
 
 @R.add(f"SELECT round(avg(hit), 6) AS capture FROM (SELECT (score > 0 AND r <= ceil(n * 0.1))::int AS hit FROM (SELECT *, row_number() OVER (ORDER BY score DESC, o_custkey) AS r, count(*) OVER () AS n FROM {_SC}))")
 def tk6_top_fraction(t):
-    s = W.ranked(t("orders").groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("score")), "score", ["o_custkey"])
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    return s.withColumn("n", n).agg(F.round(F.avg(((F.col("score") > 0) & (F.col("rank_no") <= F.ceil(F.col("n") * 0.1))).cast("double")), 6).alias("capture"))
+    s = W.ranked(t("orders").groupBy("o_custkey").agg(F.round(F.sum("o_totalprice"), 2).alias("score")), "score", ["o_custkey"], total="n")
+    return s.agg(F.round(F.avg(((F.col("score") > 0) & (F.col("rank_no") <= F.ceil(F.col("n") * 0.1))).cast("double")), 6).alias("capture"))
 
 
 @R.add("SELECT row_id, doc_id FROM (SELECT (row_number() OVER (ORDER BY n_chars DESC, doc_id) - 1)::bigint AS row_id, doc_id FROM documents)")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import zipfile
 from pathlib import Path
 
@@ -16,7 +17,7 @@ def ship(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if getattr(sc, "_tarnwerk_shipped", False):
         return
-    path = os.path.join(sc._temp_dir, "tarnwerk_package.zip")
+    path = os.path.join(tempfile.mkdtemp(prefix="tarnwerk-"), "tarnwerk_package.zip")  # Spark hands it to the executors
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
         for p in sorted(_PACKAGE.rglob("*.py")):
             z.write(p, p.relative_to(_PACKAGE.parent))

@@ -9,14 +9,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from pyspark.sql import SparkSession
 
     from tarnwerk.sources.ship import ship
 
     s = (
         SparkSession.builder.master("local[4]").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "America/New_York").config("spark.driver.memory", "4g").getOrCreate()
+        .config("spark.sql.session.timeZone", "America/New_York").config("spark.driver.memory", "4g").config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoint"))).getOrCreate()
     )  # fmt: skip  # results must not depend on the session's zone
     s.sparkContext.setLogLevel("ERROR")
     ship(s)
