@@ -88,3 +88,17 @@ def day_difference(a: Column, b: Column) -> Column:
     """Whole days from b to a, rounded down: the time of day counts."""
     us = lambda c: F.unix_micros(c.cast("timestamp"))
     return F.floor((us(a) - us(b)) / 86_400_000_000).cast("bigint")
+
+
+def month_sequence(first: Column, last: Column) -> Column:
+    """The first days of the months from one date to another, both included; empty where the order is reversed."""
+    a, b = F.trunc(first, "MM"), F.trunc(last, "MM")
+    return F.when(a <= b, F.sequence(a, b, F.expr("interval 1 month"))).otherwise(F.array().cast("array<date>"))
+
+
+def reference_day(instant: str) -> Column:
+    """The UTC day of an instant in ISO form: a parameter, never the clock of the query."""
+    import datetime as dt
+
+    at = dt.datetime.fromisoformat(instant)
+    return F.lit((at.astimezone(dt.UTC) if at.tzinfo else at).date())

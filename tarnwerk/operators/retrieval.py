@@ -74,10 +74,28 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, row_id: str, vector: st
     return top_per_group(out, ["query_id"], [F.desc("score"), row_id], k)
 
 
-def term_counts(docs: DataFrame, doc_id: str, text: str, pattern: str = "[a-z0-9]{2,}") -> DataFrame:
-    """(doc_id, term, tf): terms of a text in lower case; documents without terms have no rows."""
-    terms = F.explode(F.regexp_extract_all(F.lower(F.col(text)), F.lit(f"({pattern})"), F.lit(1))).alias("term")
-    return docs.select(F.col(doc_id), terms).groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
+#: A term: letters of any script, figures, hyphens and slashes, two signs at least.
+TERM = r"[\p{L}\p{N}_\-/]{2,}"
+
+
+def grams(words: Column, up_to: int = 2) -> Column:
+    """The words of an array and its runs of up to ``up_to`` words, each joined by a space."""
+
+    def runs(n: int) -> Column:
+        count = F.size(words) - (n - 1)
+        at = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.array_join(F.slice(words, i, n), " "))
+
+    return F.concat(words, *[runs(n) for n in range(2, up_to + 1)])
+
+
+def term_counts(docs: DataFrame, doc_id: str, text: str, pattern: str = TERM, up_to: int = 2) -> DataFrame:
+    """(doc_id, term, tf): terms of a text in lower case, and runs of up to ``up_to`` of them; documents without terms
+    have no rows."""
+    words = F.regexp_extract_all(F.lower(F.col(text)), F.lit(f"({pattern})"), F.lit(1))
+    # The words are a column of their own, so they are found once.
+    held = docs.select(F.col(doc_id), words.alias("_w")).where(F.size("_w") > 0)
+    return held.select(doc_id, F.explode(grams(F.col("_w"), up_to)).alias("term")).groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def tf_idf(counts: DataFrame, doc_id: str, documents: int, min_df: int = 2, max_df: float = 0.95) -> DataFrame:

@@ -101,49 +101,6 @@ def st4_unicode_words(t):
     return t("documents").select("doc_id", F.regexp_count("text", F.lit(r"[\p{L}\p{N}_]+")).alias("words"))
 
 
-_FROM, _TO = "áàâãäéèêëíìîïóòôõöúùûüñç", "aaaaaeeeeiiiiooooouuuunc"
-
-
-@R.add(f"SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(translate(lower(text), '{_FROM}', '{_TO}'), 'https?://\\S+|\\S+@\\S+', ' ', 'g'), '\\b[0-9]{{1,4}}\\b', ' ', 'g'), '\\s+', ' ', 'g')) AS norm FROM documents")
-def st6_full_normalise(t):
-    x = F.translate(F.lower("text"), _FROM, _TO)
-    x = F.regexp_replace(F.regexp_replace(x, r"https?://\S+|\S+@\S+", " "), r"\b[0-9]{1,4}\b", " ")
-    return t("documents").select("doc_id", F.trim(F.regexp_replace(x, r"\s+", " ")).alias("norm"))
-
-
-_STEM = "CASE WHEN length({0}) > 5 AND ends_with({0}, 'ing') THEN {0}[:-4] WHEN length({0}) > 4 AND ends_with({0}, 'ed') THEN {0}[:-3] WHEN length({0}) > 3 AND ends_with({0}, 's') AND NOT ends_with({0}, 'ss') THEN {0}[:-2] ELSE {0} END"
-_STOPS = ("the", "and", "was", "were", "with", "that", "for", "from", "this")
-
-
-@R.add(f"SELECT stem, count(*) AS n FROM (SELECT {_STEM.format('w')} AS stem FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]{{3,}}')) AS w FROM documents) WHERE w NOT IN {_STOPS}) GROUP BY 1 HAVING count(*) >= 5")
-def st7_stems(t):
-    w = F.col("w")
-    cut = lambda n: F.expr(f"substring(w, 1, length(w) - {n})")
-    stem = F.when((F.length(w) > 5) & w.endswith("ing"), cut(3)).when((F.length(w) > 4) & w.endswith("ed"), cut(2)).when((F.length(w) > 3) & w.endswith("s") & ~w.endswith("ss"), cut(1)).otherwise(w)
-    words = t("documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,})"), F.lit(1))).alias("w")).where(~w.isin(*_STOPS))
-    return words.select(stem.alias("stem")).groupBy("stem").agg(F.count(F.lit(1)).alias("n")).where("n >= 5")
-
-
-@R.add(f"SELECT source, term, n FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, term) AS r FROM (SELECT source, term, count(*) AS n FROM (SELECT source, unnest(regexp_extract_all(lower(text), '[a-z][a-z\\-]{{3,}}')) AS term FROM documents WHERE source IS NOT NULL) WHERE term NOT IN {_STOPS} GROUP BY ALL)) WHERE r <= 8")
-def st12_keywords(t):
-    w = t("documents").where("source is not null").select("source", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"([a-z][a-z\-]{3,})"), F.lit(1))).alias("term")).where(~F.col("term").isin(*_STOPS))
-    return top_per_group(w.groupBy("source", "term").agg(F.count(F.lit(1)).alias("n")), ["source"], [F.desc("n"), "term"], 8).select("source", "term", "n")
-
-
-@R.add("SELECT doc_id, len(list_distinct(s))::int AS sentences FROM (SELECT doc_id, list_filter(list_transform(string_split_regex(text, '[.!?]\\s+'), lambda x: lower(trim(x))), lambda x: x <> '') AS s FROM documents)")
-def st10_distinct_sentences(t):
-    s = F.filter(F.transform(F.split("text", r"[.!?]\s+"), lambda x: F.lower(F.trim(x))), lambda x: x != "")
-    return t("documents").select("doc_id", F.size(F.array_distinct(s)).alias("sentences"))
-
-
-@R.add("SELECT doc_id, text[greatest(1, p - 45):p + 44] AS evidence FROM (SELECT doc_id, text, instr(lower(text), 'ladder') AS p FROM documents) WHERE p > 0")
-def st16_evidence_window(t):
-    """45 characters to both sides of a term."""
-    p = F.instr(F.lower("text"), "ladder")
-    lo = F.greatest(F.lit(1), F.col("p") - 45)
-    return t("documents").withColumn("p", p).where("p > 0").select("doc_id", F.substring(F.col("text"), lo, F.col("p") + 44 - lo + 1).alias("evidence"))
-
-
 @R.add("SELECT event_id, nullif(regexp_extract(event_id, '^([a-z]+)_([0-9]+)$', 1), '') AS kind, try_cast(nullif(regexp_extract(event_id, '^([a-z]+)_([0-9]+)$', 2), '') AS BIGINT) AS number FROM " + _EV)
 def st23_extract_fields(t):
     x = lambda k: F.nullif(F.regexp_extract("event_id", r"^([a-z]+)_([0-9]+)$", k), F.lit(""))
@@ -186,34 +143,17 @@ def sm7_per_source(t):
     return top_per_group(d, ["source"], ["_k", "doc_id"], 20).select("source", "doc_id")
 
 
-@R.add(f"SELECT month, count(DISTINCT cluster_id) AS clusters, count(*) AS n FROM {_CL} WHERE cluster_id >= 0 GROUP BY 1 HAVING count(DISTINCT cluster_id) >= 2")
-def ag22_multi_family(t):
-    return clustered(t).where("cluster_id >= 0").groupBy("month").agg(F.count_distinct("cluster_id").alias("clusters"), F.count(F.lit(1)).alias("n")).where("clusters >= 2")
-
-
-@R.add("SELECT source_type, category, status, count(*) AS n FROM unified_event GROUP BY ALL")
-def ag16_profile(t):
-    return t("unified_event").groupBy("source_type", "category", "status").agg(F.count(F.lit(1)).alias("n"))
-
-
 @R.add("SELECT location_id, (count(*) FILTER (any_injury) * 3 + count(*) FILTER (is_open_task) + count(*) FILTER (is_overdue_task) * 2)::bigint AS signal FROM unified_event WHERE location_id IS NOT NULL GROUP BY 1 ORDER BY signal DESC, location_id LIMIT 50")
 def ag12_weighted_signal(t):
     n = lambda c: F.count_if(F.col(c))
     return t("unified_event").where("location_id is not null").groupBy("location_id").agg((n("any_injury") * 3 + n("is_open_task") + n("is_overdue_task") * 2).alias("signal")).orderBy(F.desc("signal"), "location_id").limit(50)
 
 
-@R.add("SELECT source, count(*) AS docs, arg_min(doc_id, (rank_ascii, doc_id)) AS example FROM (SELECT source, doc_id, length(text) AS rank_ascii FROM documents WHERE regexp_matches(lower(text), '\\bladder\\b')) GROUP BY 1")
-def tx17_supporting_ids(t):
-    """How many documents support a phrase per source, with the shortest one."""
-    d = t("documents").where(F.lower("text").rlike(r"\bladder\b"))
-    return d.groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.min_by("doc_id", F.struct(F.length("text"), "doc_id")).alias("example"))
-
-
-@R.add("WITH p AS (SELECT DISTINCT unnest(regexp_extract_all(lower(location_name), '[a-z]{3,}')) AS term FROM location_view) SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z0-9]{2,}')) AS term FROM documents) WHERE term NOT IN (SELECT term FROM p WHERE term IS NOT NULL) GROUP BY 1 HAVING count(*) >= 10")
+@R.add("WITH p AS (SELECT DISTINCT unnest(regexp_extract_all(lower(location_name), '[\\p{L}]{3,}')) AS term FROM location_view) SELECT term, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_\\-/]{2,}')) AS term FROM documents) WHERE term NOT IN (SELECT term FROM p WHERE term IS NOT NULL) GROUP BY 1 HAVING count(*) >= 10")
 def tx18_without_place_terms(t):
     """Frequent terms that are no words of place names: an anti-join against the names' distinct words."""
-    p = t("location_view").select(F.explode(F.regexp_extract_all(F.lower("location_name"), F.lit("([a-z]{3,})"), F.lit(1))).alias("term")).distinct()
-    n = retrieval.term_counts(t("documents"), "doc_id", "text").groupBy("term").agg(F.sum("tf").alias("n")).where("n >= 10")
+    p = t("location_view").select(F.explode(F.regexp_extract_all(F.lower("location_name"), F.lit(r"(\p{L}{3,})"), F.lit(1))).alias("term")).distinct()
+    n = retrieval.term_counts(t("documents"), "doc_id", "text", up_to=1).groupBy("term").agg(F.sum("tf").alias("n")).where("n >= 10")
     return n.join(p, "term", "left_anti")
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tarnwerk.plans import events, more, problems, records, search
+from tarnwerk.plans import events, more, problems, profiled, records, search, texts
 
-_MODULES = (problems, records, search, events, more)
+_MODULES = (problems, records, search, events, more, texts, profiled)
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 SQL = {k: s for m in _MODULES for k, s in m.SQL.items()}

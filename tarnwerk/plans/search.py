@@ -12,7 +12,7 @@ from tarnwerk.operators.windows import top_per_group
 from tarnwerk.plans._register import Register
 
 R = Register()
-_TC = "(SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z0-9]{2,}')) AS term FROM documents) GROUP BY ALL)"
+_TC = "(SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(a || list_transform(range(1, len(a)), lambda i: a[i] || ' ' || a[i + 1])) AS term FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_\\-/]{2,}') AS a FROM documents)) GROUP BY ALL)"
 
 
 def counts(t):
