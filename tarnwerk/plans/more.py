@@ -157,14 +157,4 @@ def tx18_without_place_terms(t):
     return n.join(p, "term", "left_anti")
 
 
-@R.add("WITH s AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq, avg(l_discount) AS md, stddev_pop(l_discount) AS sd FROM lineitem), x AS (SELECT l_orderkey, l_linenumber, greatest(0, (l_quantity - mq) / sq) AS q, greatest(0, (l_discount - md) / sd) AS d FROM lineitem, s) SELECT driver, count(*) AS n, round(avg(v), 4) AS mean FROM (SELECT CASE WHEN q >= d THEN 'quantity' ELSE 'discount' END AS driver, greatest(q, d) AS v FROM x WHERE greatest(q, d) > 0) GROUP BY 1")
-def ml14_drivers(t):
-    """The largest standardised excess of each row and how often each feature is it."""
-    li = t("lineitem")
-    s = li.agg(F.avg("l_quantity").alias("mq"), F.stddev_pop("l_quantity").alias("sq"), F.avg("l_discount").alias("md"), F.stddev_pop("l_discount").alias("sd"))
-    x = li.crossJoin(F.broadcast(s)).select(F.greatest(F.lit(0.0), (F.col("l_quantity") - F.col("mq")) / F.col("sq")).alias("q"), F.greatest(F.lit(0.0), (F.col("l_discount") - F.col("md")) / F.col("sd")).alias("d"))  # one row
-    top = x.where(F.greatest("q", "d") > 0)
-    return top.select(F.when(F.col("q") >= F.col("d"), "quantity").otherwise("discount").alias("driver"), F.greatest("q", "d").alias("v")).groupBy("driver").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("v"), 4).alias("mean"))
-
-
 QUERIES, SQL = R.queries, R.sql
