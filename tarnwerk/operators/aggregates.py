@@ -93,6 +93,14 @@ def numeric_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return out.select("feature", "missing", F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"), "mean", "std", *[F.round(c, 4).alias(c) for c in ("median", "p75", "p90")], "max", "nonzero_share")
 
 
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column_name, filled, distinct_values, top, top_count) of every column: values are counted once for all columns."""
+    long = df.select(*[F.col(c).cast("string").alias(c) for c in columns]).unpivot([], list(columns), "column_name", "v")
+    n = value_table(long, "column_name", "v")
+    g = n.groupBy("column_name").agg(F.sum("n").alias("filled"), F.count(F.lit(1)).alias("distinct_values"), F.min(F.struct((-F.col("n")).alias("_n"), "v")).alias("_t"))
+    return g.select("column_name", "filled", "distinct_values", F.col("_t.v").alias("top"), (-F.col("_t._n")).alias("top_count"))
+
+
 def mode(column: str) -> Column:
     """Most frequent value, the smallest of ties; null where there is none."""
     return F.mode(column, True)

@@ -47,3 +47,20 @@ def correlations(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """(feature, correlation) of each feature with a target, from one pass."""
     one = df.agg(*[F.round(F.corr(F.col(c).cast("double"), F.col(target).cast("double")), 6).alias(c) for c in features])
     return one.unpivot([], features, "feature", "correlation")
+
+
+def separation(df: DataFrame, cluster: str, vector: str) -> DataFrame:
+    """One row: Davies-Bouldin and Calinski-Harabasz of clusters of vectors, by Euclidean distance to their centroids.
+    Only the centroids, one per cluster, meet in pairs. Null vectors and clusters are left out; null with one cluster."""
+    from tarnwerk.operators.retrieval import centroids
+
+    x = df.where(F.col(vector).isNotNull() & F.col(cluster).isNotNull()).select(F.col(cluster).alias("c"), F.transform(vector, lambda v: v.cast("double")).alias("v"))
+    far = lambda a, b: F.sqrt(F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, d: s + d))
+    c = centroids(x, "c", "v")
+    inner = x.join(F.broadcast(c), "c").withColumn("d", far(F.col("v"), F.col("centroid"))).groupBy("c").agg(F.avg("d").alias("s"), F.sum(F.col("d") * F.col("d")).alias("w"), F.count(F.lit(1)).alias("n")).join(c, "c")
+    a, b = inner.select(F.col("c").alias("i"), F.col("s").alias("si"), F.col("centroid").alias("ci")), inner.select(F.col("c").alias("j"), F.col("s").alias("sj"), F.col("centroid").alias("cj"))
+    worst = a.join(F.broadcast(b), F.col("i") != F.col("j")).groupBy("i").agg(F.max((F.col("si") + F.col("sj")) / far(F.col("ci"), F.col("cj"))).alias("r"))
+    whole = centroids(x.withColumn("_one", F.lit(0)), "_one", "v").select(F.col("centroid").alias("g"))
+    between = inner.crossJoin(F.broadcast(whole)).agg(F.sum(F.col("n") * F.pow(far(F.col("centroid"), F.col("g")), 2)).alias("b"), F.sum("w").alias("w"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"))  # one row
+    ch = F.try_divide(F.col("b") / (F.col("k") - 1), F.col("w") / (F.col("n") - F.col("k")))
+    return worst.agg(F.avg("r").alias("_db")).crossJoin(between).select(F.round("_db", 4).alias("davies_bouldin"), F.round(ch, 4).alias("calinski_harabasz"))

@@ -134,6 +134,16 @@ def fuse(a: DataFrame, b: DataFrame, keys: Sequence[str], k: int, top: int, grou
     return top_per_group(scored, [group], [F.desc("fused"), *[c for c in keys if c != group]], top)
 
 
+def merge(lists: Sequence[DataFrame], keys: Sequence[str], top: int, group: str = "query_id") -> DataFrame:
+    """Several result lists (keys, src, own) in one: a row found by more than one counts in the list of the least ``src``;
+    lists follow each other, each by its own falling score, ``top`` rows per group."""
+    out = lists[0]
+    for x in lists[1:]:
+        out = out.unionByName(x)
+    once = out.groupBy(*keys).agg(F.min(F.struct("src", (-F.col("own")).alias("_s"))).alias("_m")).select(*keys, "_m.src", (-F.col("_m._s")).alias("own"))
+    return top_per_group(once, [group], ["src", F.desc("own"), *[c for c in keys if c != group]], top)
+
+
 def centroids(vectors: DataFrame, label: str, vector: str, weight: str | None = None) -> DataFrame:
     """(label, centroid): the weighted mean vector of each label, by sums per position; null vectors are left out."""
     w = F.col(weight) if weight else F.lit(1.0)

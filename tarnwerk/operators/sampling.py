@@ -71,3 +71,18 @@ def quotas(shares: dict[str, int], total: int) -> dict[str, int]:
     for k in sorted(exact, key=lambda k: (out[k] - exact[k], k))[: total - sum(out.values())]:
         out[k] += 1
     return out
+
+
+def quota_sample(df: DataFrame, group: str, wanted: dict[str, int], column: str, seed: int = 7) -> DataFrame:
+    """Of each group its quota of rows, those of the least hashes; groups without a quota have none. A hot group is shared
+    by many tasks (rank_within)."""
+    rows = [(k, v) for k, v in wanted.items() if v > 0]
+    quota = df.sparkSession.createDataFrame(rows, f"{group} string, _quota int")  # a row per group named by the caller
+    ranked_rows = rank_within(df.join(F.broadcast(quota), group).withColumn("_k", key_of(column, seed)), group, ["_k", column], "_r")
+    return ranked_rows.where(F.col("_r") <= F.col("_quota")).drop("_k", "_r", "_quota")
+
+
+def capped(df: DataFrame, family: str, keep: Column, cap: int, column: str, seed: int = 7) -> DataFrame:
+    """Of each family all rows that must be kept, filled up to ``cap`` rows with those of the least hashes."""
+    r = rank_within(df.withColumns({"_must": F.coalesce(keep, F.lit(False)), "_k": key_of(column, seed)}), family, [F.desc("_must"), "_k", column], "_r")
+    return r.where(F.col("_must") | (F.col("_r") <= cap)).drop("_must", "_k", "_r")

@@ -53,13 +53,24 @@ def rolling_distinct(events: DataFrame, entity: Sequence[str], month: str, item:
     Each (entity, month, item) is first reduced to one row and then spread over the months it counts in: the count is
     a plain grouped aggregate, so no window collects the items of a hot entity.
     """
-    once = events.where(F.col(month).isNotNull() & F.col(item).isNotNull()).select(*entity, month, item).distinct()
-    have = once.select(*entity, month).distinct()
-    spread = once.select(*entity, F.explode(F.transform(F.sequence(F.lit(0), F.lit(months - 1)), lambda k: F.add_months(F.col(month), k))).alias(month), item)
+    have, spread = _trailing_items(events, entity, month, item, months)
     counts = spread.groupBy(*entity, month).agg(F.count_distinct(item).alias(out))
     return have.join(counts, [*entity, month])
 
 
+def _trailing_items(events: DataFrame, entity: Sequence[str], month: str, item: str, months: int) -> tuple[DataFrame, DataFrame]:
+    once = events.where(F.col(month).isNotNull() & F.col(item).isNotNull()).select(*entity, month, item).distinct()
+    have = once.select(*entity, month).distinct()
+    return have, once.select(*entity, F.explode(F.transform(F.sequence(F.lit(0), F.lit(months - 1)), lambda k: F.add_months(F.col(month), k))).alias(month), item)
+
+
+def rolling_items(events: DataFrame, entity: Sequence[str], month: str, item: str, months: int, out: str, separator: str = ",") -> DataFrame:
+    """The same items as text, in order: items are codes of a bounded list, so a group holds each once at most."""
+    have, spread = _trailing_items(events, entity, month, item, months)
+    lists = spread.groupBy(*entity, month).agg(F.array_join(F.array_sort(F.collect_set(F.col(item).cast("string"))), separator).alias(out))
+    return have.join(lists, [*entity, month])
+
+
 def trend_flag(rows: DataFrame, group: Sequence[str], order: str, measure: str, last: int = 3, least_rows: int = 4, change: float = 0.25, least: float = 2.0) -> DataFrame:
     """Per group the mean of its last rows against that of all earlier ones: up, down, flat, or short history."""
     n = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc(order)))

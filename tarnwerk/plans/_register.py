@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tarnwerk.sources.ship import ship
 from tarnwerk.sources.tables import table
 
 
@@ -21,6 +22,7 @@ class Register:
             key = name or f.__name__
 
             def run(spark: SparkSession, directory: str) -> DataFrame:
+                ship(spark)
                 return f(lambda t: table(spark, directory, t))
 
             run.__name__, run.__doc__ = key, f.__doc__
