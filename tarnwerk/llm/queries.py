@@ -141,4 +141,29 @@ def _shipped(f):
 
 
 QUERIES = {f.__name__: _shipped(f) for f in (p1_found, p1_report, p3_found, p3_redacted, p5_found, p5_groups, p6_found, p6_segments, p8_found, p8_items, p9_found, p9_mix, p9_shares, p9_even, p10_found, p10_composition)}
-SQL: dict[str, str] = {}
+
+#: Words of a text as leaks.normal_words has them: line ends inside words joined, case and inner marks gone.
+_WORDS = "list_transform(regexp_extract_all(lower(regexp_replace(regexp_replace({0}, '([\\p{{L}}\\p{{N}}_])[-‐‑­¬]\\s*\\n\\s*([\\p{{L}}\\p{{N}}_])', '\\1\\2', 'g'), '[\\x{{00AD}}\\x{{200B}}-\\x{{200D}}\\x{{2060}}\\x{{FEFF}}]', '', 'g')), '[\\p{{L}}\\p{{N}}]+(?:[''’ʼ\\-‐‑][\\p{{L}}\\p{{N}}]+)*'), lambda w: regexp_replace(w, '[''’ʼ\\-‐‑]', '', 'g'))"
+#: A leak is 12 words of the item with one error at most. Equal words on one diagonal form stretches; a stretch of five
+#: words, with what follows or goes before it after one word changed, dropped or added, must make up twelve.
+_LEAKS = f"""
+WITH iw AS (SELECT item_id, {_WORDS.format("item_text")} AS w FROM eval_items WHERE item_id IS NOT NULL), dw AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents WHERE text <> ''),
+ig AS (SELECT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM iw WHERE len(w) >= 5),
+dg AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM dw WHERE len(w) >= 5),
+near AS (SELECT DISTINCT doc_id, item_id FROM ig JOIN dg USING (g)),
+ip AS (SELECT item_id, len(w) AS n, unnest(w) AS x, unnest(range(len(w))) AS i FROM iw), dp AS (SELECT doc_id, len(w) AS m, unnest(w) AS x, unnest(range(len(w))) AS j FROM dw),
+eq AS (SELECT doc_id, item_id, n, m, i, i - j AS d FROM near JOIN ip USING (item_id) JOIN dp USING (doc_id, x)),
+st AS (SELECT doc_id, item_id, any_value(n) AS n, any_value(m) AS m, d, min(i) AS s, max(i) + 1 AS e FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, item_id, d ORDER BY i) AS g FROM eq) GROUP BY doc_id, item_id, d, g),
+er AS (SELECT * FROM (VALUES (1, 1, 1), (1, 0, 1), (0, 1, 0)) v(da, db, extra)),
+hit AS (
+  SELECT doc_id, item_id FROM st WHERE e - s >= 12
+  UNION ALL SELECT a.doc_id, a.item_id FROM st a, er LEFT JOIN st b ON b.doc_id = a.doc_id AND b.item_id = a.item_id AND b.d = a.d + da - db AND b.s <= a.e + da AND a.e + da < b.e
+    WHERE a.e - a.s >= 5 AND a.e + da <= a.n AND a.e - a.d + db <= a.m AND a.e - a.s + extra + coalesce(b.e - (a.e + da), 0) >= 12
+  UNION ALL SELECT a.doc_id, a.item_id FROM st a, er LEFT JOIN st b ON b.doc_id = a.doc_id AND b.item_id = a.item_id AND b.d = a.d - da + db AND b.s < a.s - da AND a.s - da <= b.e
+    WHERE a.e - a.s >= 5 AND a.s - da >= 0 AND a.s - a.d - db >= 0 AND a.e - a.s + extra + coalesce(a.s - da - b.s, 0) >= 12
+)
+"""
+SQL: dict[str, str] = {
+    "p8_found": _LEAKS + "SELECT DISTINCT doc_id, item_id FROM hit",
+    "p8_items": _LEAKS + "SELECT item_id, count(DISTINCT doc_id) AS documents FROM hit GROUP BY 1",
+}
