@@ -127,6 +127,7 @@ def distinct_phrases(phrases: Sequence[str], most: int, overlap: float = 0.8) ->
         for i, (_, other) in enumerate(kept):
             if other < own:
                 kept[i] = (p, own)
+                kept = [k for j, k in enumerate(kept) if j == i or not k[1] < own]
                 break
             if len(own & other) >= overlap * min(len(own), len(other)):
                 break

@@ -9,6 +9,7 @@ from tarnwerk.functions.scalars import id_number, norm_id, truthy
 from tarnwerk.operators import references, rolling, timestamps
 from tarnwerk.operators.joins import first_delivery, lookup_join
 from tarnwerk.operators.lineage import cut
+from tarnwerk.plans import timestamps_sql as Q
 from tarnwerk.sources.tables import table
 
 FIRST_DAY, LAST_DAY = "2021-01-01", "2025-06-30"
@@ -158,7 +159,13 @@ WITH child AS (
     FROM child c LEFT JOIN parent p ON c.parent = p.parent AND c.key = p.key WHERE c.key IS NOT NULL
 )
 """
+_COLS = [f"{n}_{k}d" for n in ("incidents", "lost_time") for k in (7, 30)]
 SQL = {
+    "p4_found": Q.P4 + "SELECT * FROM p4",
+    "p4_status": Q.P4 + "SELECT table_name, field_name, CASE WHEN utc_text LIKE '%Z' THEN 'ok' ELSE utc_text END AS status, count(*) AS n FROM p4 GROUP BY ALL",
+    "p7_found": Q.P7 + Q.totals("inc", "tot") + f" SELECT location_id, strftime(day, '%Y-%m-%d') AS day_text, {', '.join(_COLS)} FROM tot",
+    "p7_averages": Q.P7 + Q.totals("inc", "tot") + f", cal AS (SELECT location_id, unnest(generate_series(DATE '2021-01-01', DATE '2025-06-30', INTERVAL 1 DAY))::date AS day FROM (SELECT DISTINCT location_id FROM location_view WHERE location_id IS NOT NULL)) SELECT location_id, day, " + ", ".join(f"coalesce({c}, 0) AS {c}, coalesce({c}, 0) / {c.split('_')[-1][:-1]}.0::double AS {c}_avg" for c in _COLS) + " FROM cal LEFT JOIN tot USING (location_id, day)",
+    "p7_versions": Q.P7 + "late AS (SELECT * FROM inc WHERE arrived IS NULL OR arrived::date - day > 14), soon AS (SELECT * FROM inc WHERE NOT (arrived IS NULL OR arrived::date - day > 14)), " + Q.totals("soon", "v0") + ", " + Q.totals("late", "v1") + f" SELECT location_id, day, {', '.join(_COLS)}, 0 AS version FROM v0 UNION ALL SELECT v1.location_id, v1.day, " + ", ".join(f"v1.{c} + coalesce(v0.{c}, 0)" for c in _COLS) + ", 1 FROM v1 LEFT JOIN v0 USING (location_id, day)",
     "p2_found": _ORPHANS + "SELECT * FROM orphan WHERE orphan_kind IS NOT NULL",
     "p2_counts": _ORPHANS + "SELECT table_name, field_name, orphan_kind, load_month, count(*) AS orphans FROM orphan WHERE orphan_kind IS NOT NULL GROUP BY ALL",
     "p7_events": """
