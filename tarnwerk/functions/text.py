@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tarnwerk.functions.scalars import NULL_TEXTS
 
-#: The fixed event schema: column, type, default; None keeps null.
+#: The fixed event schema: column, type, default; None keeps null. The contract is the set of columns, their types and
+#: defaults; the order is this project's own, by type as the table's description lists them.
 EVENT_SCHEMA = tuple(
     [(c, "string", "") for c in "event_id source_type source_subtype site department location_path title description clean_text status category audit_type task_source_module detected_language language_detection_status".split()]
     + [(c, "bigint", None) for c in "source_id location_id raw_status_id raw_category_id raw_type_id raw_source_type_id".split()]
