@@ -12,6 +12,7 @@ from tarnwerk.functions.scalars import id_number, truthy, word_count
 from tarnwerk.operators import hierarchy
 from tarnwerk.operators.joins import first_delivery, lookup_join
 from tarnwerk.plans._register import Register
+from tarnwerk.plans.records import _CLEANED, _TREE
 
 R = Register()
 
@@ -73,7 +74,28 @@ def cp1_unified_counts(t):
     return build_events(t).groupBy("source_type").agg(F.count(F.lit(1)).alias("n"))
 
 
-@R.add()
+_ID = "try_cast(regexp_replace(trim({0}), '\\.0*$', '') AS BIGINT)"
+_YES = "coalesce(lower(trim({0})) IN ('true','1','yes','y','t','x'), false)"
+_ONE = "(SELECT {0}, arg_min(x, loaded_at) AS r FROM {1} x WHERE {0} IS NOT NULL GROUP BY 1)"
+_UNIFIED = (
+    _TREE
+    + f""", code AS (SELECT list_item_id, min(item) AS item FROM listitem_view WHERE list_item_id IS NOT NULL GROUP BY 1),
+place AS (SELECT node, name_path AS location_path, concat_ws(' / ', s[1], s[2]) AS site, coalesce(s[5], 'Unknown') AS department FROM (SELECT node, name_path, string_split(name_path, ' > ') AS s FROM paths)),
+inj AS (SELECT {_ID.format("r.incident_id")} AS source_id, count(*)::int AS n, bool_or({_YES.format("r.lost_time")}) AS lost, bool_or({_YES.format("r.fatality")}) AS fatal, bool_or({_YES.format("r.inpatient")}) AS inp FROM {_ONE.format("injury_id", "incidentinjury_view")} GROUP BY 1 HAVING {_ID.format("r.incident_id")} IS NOT NULL),
+ev AS (
+  SELECT 'incident' AS source_type, incident_id AS source_id, r.incident_category_id AS raw_category_id, r.incident_status_id AS raw_status_id, NULL::bigint AS raw_type_id, {_ID.format("r.location_id")} AS location_id, r.title AS title, r.description AS description, NULL::timestamp AS event_date, NULL::timestamp AS completion_date, false AS is_open_task FROM {_ONE.format("incident_id", "incident_view")}
+  UNION ALL SELECT 'audit', audit_id, r.audit_category_id, r.audit_status_id, r.audit_type_id, r.scheduled_location_id, r.title, r.description, coalesce(r.actual_start, r.scheduled_start), NULL, false FROM {_ONE.format("audit_id", "audit_view")}
+  UNION ALL SELECT 'task', task_id, r.task_category_id, {_ID.format("r.task_status_id")}, NULL, {_ID.format("r.location_id")}, r.task, r.description, r.assigned_date, r.completion_date, r.completion_date IS NULL FROM {_ONE.format("task_id", "task_view")}
+), txt AS (SELECT ev.*, source_type || '_' || ev.source_id AS event_id, coalesce(nullif({_CLEANED.format("description")}, ''), nullif({_CLEANED.format("title")}, ''), '') AS clean_text FROM ev)
+SELECT event_id, e.source_type, '' AS source_subtype, coalesce(p.site, 'Unknown') AS site, coalesce(p.department, 'Unknown') AS department, coalesce(p.location_path, '') AS location_path, coalesce(title, '') AS title, coalesce(description, '') AS description, clean_text,
+  coalesce(st.item, raw_status_id::varchar, '') AS status, coalesce(ct.item, raw_category_id::varchar, '') AS category, '' AS audit_type, '' AS task_source_module, '' AS detected_language, '' AS language_detection_status,
+  e.source_id, location_id, raw_status_id, raw_category_id, raw_type_id, NULL::bigint AS raw_source_type_id, event_date, NULL::timestamp AS due_date, completion_date, is_open_task, false AS is_overdue_task, coalesce(i.n, 0) > 0 AS any_injury, false AS severe_actual,
+  coalesce(i.fatal, false) AS fatality, coalesce(i.lost, false) AS losttime, false AS restrictedtime, coalesce(i.inp, false) AS inpatient, false AS emergencyroom, clean_text <> '' AS has_text, NULL::boolean AS is_english_text, coalesce(i.n, 0) AS injury_record_count, length(clean_text)::int AS text_length, NULL::double AS detected_language_score
+FROM txt e LEFT JOIN inj i ON e.source_type = 'incident' AND i.source_id = e.source_id LEFT JOIN code ct ON ct.list_item_id = raw_category_id LEFT JOIN code st ON st.list_item_id = raw_status_id LEFT JOIN place p ON p.node = location_id"""
+)
+
+
+@R.add(_UNIFIED)
 def cp1_unified_events(t):
     """The whole unified event table."""
     return build_events(t)
