@@ -91,3 +91,15 @@ def classifier(kind: str, label: str, features: str = "features", weight: str =
     if kind == "logistic":
         return LogisticRegression(labelCol=label, featuresCol=features, weightCol=weight, elasticNetParam=0.5, regParam=0.01, maxIter=50)
     return GBTClassifier(labelCol=label, featuresCol=features, weightCol=weight, seed=seed, maxIter=20, maxDepth=4)
+
+
+def theme_layer(rows: DataFrame, cluster: str, vector: str, most_distance: float) -> DataFrame:
+    """The rows with the theme of their cluster: centroids of the clusters, one each, are agglomerated and joined back.
+    Rows without a cluster have no theme."""
+    from tarnwerk.operators.retrieval import centroids
+
+    n = rows.where(F.col(cluster).isNotNull()).groupBy(cluster).agg(F.count(F.lit(1)).alias("_n"))
+    c = centroids(rows.where(F.col(cluster).isNotNull()), cluster, vector).join(n, cluster).orderBy(cluster).collect()  # a row per cluster
+    themes = agglomerate([(r[cluster], r["centroid"], r["_n"]) for r in c], most_distance)
+    dim = rows.sparkSession.createDataFrame(sorted(themes.items()), f"{cluster} {rows.schema[cluster].dataType.simpleString()}, theme int")
+    return rows.join(F.broadcast(dim), cluster, "left")

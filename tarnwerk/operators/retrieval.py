@@ -126,6 +126,46 @@ def bm25(counts: DataFrame, queries: DataFrame, doc_id: str, k: int, query_id: s
     return top_per_group(hit.groupBy(query_id, doc_id).agg(F.round(s, 6).alias("score")).where("score > 0"), [query_id], [F.desc("score"), doc_id], k)
 
 
+def write_index(counts: DataFrame, path: str, doc_id: str, min_df: int = 2, max_df: float = 0.98) -> None:
+    """A stored BM25 index under ``path``: postings partitioned by a hash of the term, lengths of documents and terms with
+    their document frequencies. Terms in fewer than min_df or more than max_df of the documents are left out, as in a
+    vocabulary; lengths count all terms."""
+    lens = counts.groupBy(doc_id).agg(F.sum("tf").alias("len"))
+    n = lens.count()
+    df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where((F.col("df") >= min_df) & (F.col("df") <= max_df * n))
+    bucket = F.pmod(F.xxhash64("term"), F.lit(64)).cast("int").alias("bucket")
+    lens.write.mode("overwrite").parquet(f"{path}/lengths")
+    df.write.mode("overwrite").parquet(f"{path}/terms")
+    counts.join(df, "term").select("term", doc_id, "tf", "df", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/postings")
+
+
+def search_index(spark, path: str, queries: DataFrame, doc_id: str, k: int, query_id: str = "query_id", k1: float = K1, b: float = B) -> DataFrame:
+    """BM25 of a stored index for query terms (query_id, term, qtf); the same scores as ``bm25`` for the terms it holds. Only
+    the buckets of query terms are read."""
+    q = queries.withColumn("bucket", F.pmod(F.xxhash64("term"), F.lit(64)).cast("int"))
+    lens = spark.read.parquet(f"{path}/lengths")
+    stats = lens.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("len").alias("mean_len"))
+    hit = spark.read.parquet(f"{path}/postings").join(q, ["bucket", "term"]).where(F.col(query_id) != F.col(doc_id)).join(lens, doc_id).crossJoin(F.broadcast(stats))  # one row
+    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)) * (1 + F.log(1 + F.col("qtf")))
+    s = F.sum(idf * F.col("tf") * (k1 + 1) / (F.col("tf") + k1 * (1 - b + b * F.col("len") / F.col("mean_len"))))
+    return top_per_group(hit.groupBy(query_id, doc_id).agg(F.round(s, 6).alias("score")).where("score > 0"), [query_id], [F.desc("score"), doc_id], k)
+
+
+#: Names a mode of search goes by.
+MODES = {"bm25": "bm25", "lexical": "bm25", "keyword": "bm25", "vector": "vector", "dense": "vector", "similarity": "vector", "hybrid": "hybrid", "rrf": "hybrid", "fusion": "hybrid"}
+
+
+def search(mode: str, lexical, dense, keys: Sequence[str], top: int, pool: int = 75, k: int = 60) -> DataFrame:
+    """One route of search: by words, by vectors, or both fused from pools of ``pool``. lexical and dense are functions of
+    how many matches per query they are to give; only those the mode needs are called. An unknown mode is an error."""
+    route = MODES.get(mode.strip().lower())
+    if route is None:
+        raise ValueError(f"no such mode of search: {mode}")
+    if route != "hybrid":
+        return (lexical if route == "bm25" else dense)(top)
+    return fuse(lexical(pool), dense(pool), keys, k, top)
+
+
 def fuse(a: DataFrame, b: DataFrame, keys: Sequence[str], k: int, top: int, group: str = "query_id") -> DataFrame:
     """Reciprocal-rank fusion of two ranked lists: the sum of 1 / (k + rank) over the lists a row is in."""
     both = a.select(*keys, F.col("rank_no").alias("rank_a")).join(b.select(*keys, F.col("rank_no").alias("rank_b")), list(keys), "full")

@@ -70,11 +70,68 @@ def write_with_preview(df: DataFrame, path: str, rows: int = 100) -> None:
 
 
 def write_report(df: DataFrame, path: str) -> dict:
-    """The one row of a report frame as a JSON file."""
-    row = df.limit(1).collect()
-    report = json.loads(row[0].asDict(True) and json.dumps(row[0].asDict(True), default=str)) if row else {}
-    Path(path).write_text(json.dumps(report, indent=2, sort_keys=True))
-    return report
+    """The one row of a report frame as one JSON line under ``path``, on any file system Spark writes to; null fields too."""
+    one = df.limit(1).select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    one.coalesce(1).write.mode("overwrite").text(path)
+    row = df.sparkSession.read.text(path).collect()  # one line
+    return json.loads(row[0].value) if row else {}
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on the file system its scheme names."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_cases(spark: SparkSession, path: str, texts: Sequence[str] = ("query", "text", "description", "title"), ids: Sequence[str] = ("id", "case_id", "row_id")) -> DataFrame:
+    """(case_id, query) of a file of cases, by its suffix: a line of ``.txt``, a row of ``.csv``, an object of ``.jsonl`` or
+    of a ``.json`` list each is a case. The text is the first of ``texts`` that is filled, the id the first of ``ids``, or
+    a hash of the text. Blank cases are left out."""
+    kind = path.rsplit(".", 1)[-1].lower()
+    if kind == "txt":
+        df = spark.read.text(path).withColumnRenamed("value", "query")
+    elif kind == "csv":
+        df = read_csv(spark, path)
+    elif kind in ("json", "jsonl"):
+        df = spark.read.option("multiLine", kind == "json").json(path)
+    else:
+        raise ValueError(f"no reader of cases for {path}")
+    have = {c.lower(): c for c in df.columns}
+    pick = lambda names: [F.nullif(F.trim(F.col(have[n]).cast("string")), F.lit("")) for n in names if n in have]
+    text = pick(texts)
+    if not text:
+        raise ValueError(f"none of {list(texts)} in {path}")
+    out = df.select(F.coalesce(*pick(ids), F.lit(None).cast("string")).alias("_id"), F.coalesce(*text, F.lit(None).cast("string")).alias("query")).where(F.col("query").isNotNull())
+    return out.select(F.coalesce("_id", F.hex(F.xxhash64("query"))).alias("case_id"), "query")
+
+
+def first_source(spark: SparkSession, paths: Sequence[str | None], sample: DataFrame) -> DataFrame:
+    """The cases of the first path that is named and exists, else the sample of the tables."""
+    for p in paths:
+        if p and exists(spark, p):
+            return read_cases(spark, p)
+    return sample
+
+
+def up_to(df: DataFrame, rows: int | None) -> DataFrame:
+    """The table, or its first rows where a number is asked for: no task reads more than it needs."""
+    return df if rows is None else df.limit(rows)
+
+
+def manifest(spark: SparkSession, path: str, chunk: str, vector: str) -> DataFrame:
+    """(chunk, rows, dimension) of written chunks: the manifest is read off the data, so it cannot fall behind them."""
+    return spark.read.parquet(path).groupBy(chunk).agg(F.count(F.lit(1)).alias("rows"), F.max(F.size(vector)).alias("dimension"))
+
+
+def merged_chunks(spark: SparkSession, path: str, chunk: str, vector: str, wanted: DataFrame | None = None) -> DataFrame:
+    """All chunks as one table; an error if vectors differ in length, or a wanted chunk (column ``chunk``) is missing."""
+    df = spark.read.parquet(path)
+    one_length(df, vector)
+    if wanted is not None:
+        lost = [r[0] for r in pending(spark, wanted.select(chunk).distinct(), path, chunk).limit(5).collect()]
+        if lost:
+            raise ValueError(f"chunks missing under {path}: {lost}")
+    return df
 
 
 def pending(spark: SparkSession, wanted: DataFrame, done_path: str, key: str) -> DataFrame:
