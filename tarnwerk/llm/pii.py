@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tarnwerk.operators.lineage import cut
 
@@ -27,8 +28,11 @@ PATTERN_SHARE, PATTERN_SUPPORT, INSTANCE_SCORE = 0.5, 3, 0.6
 MIDDLE_SHARE = 0.25
 #: Lower confidence bound of the share of good patterns among all that a name word is met in, and its number of deviations.
 NAME_SHARE, DEVIATIONS = 0.25, 1.0
-#: What is broadcast has at least one in so many of all links: so it has at most so many entries.
+#: A model of at most so many entries is broadcast whole. Of a larger one each part of the texts gets the entries that it
+#: can look up, by a join: the finds are the same.
 MAX_ENTRIES = 1_000_000
+#: Texts in a part: two to the power of this.
+PART_BITS = 10
 
 EMAIL = re.compile(r"(?<![\w.+@-])[\w.+-]+(?:@|\s?[\[(]\s?at\s?[\])]\s?)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z0-9-]*[A-Za-z0-9](?![\w@])", re.IGNORECASE)
 PHONE = re.compile(
@@ -293,20 +297,25 @@ def lower_bound(good: Column, all_: Column, z: float = DEVIATIONS) -> Column:
     return (p + z * z / (2 * all_) - z * F.sqrt((p * (1 - p) + z * z / (4 * all_)) / all_)) / (1 + z * z / all_)
 
 
+def _word_before(text: str, a: int) -> str:
+    """The token right before a place, digits as 0."""
+    near = _TOKEN.findall(text[max(0, a - 30) : a].lower())
+    return re.sub(r"\d+", "0", near[-1]) if near else "^"
+
+
 class Finder:
     """What was learned: patterns by kind, and the words of names."""
 
-    def __init__(self, pats: dict[str, dict[str, float]], names: frozenset[str]):
+    def __init__(self, pats: dict[str, dict[str, float]], names: frozenset[str], before: dict[str, set[str]] | None = None):
         self.pats, self.names = pats, names
         #: Of each kind the words right before an instance in any pattern: most contexts end at this test.
-        self.before = {k: {p[: p.index("_")].split(" ")[-1] for p in v} for k, v in pats.items()}
+        self.before = before or {k: {p[: p.index("_")].split(" ")[-1] for p in v} for k, v in pats.items()}
 
     def fits(self, kind: str, text: str, a: int, b: int, taken: list[tuple[int, int, str]], least: float) -> bool:
         own = self.pats.get(kind, {})
         if not own:
             return False
-        near = _TOKEN.findall(text[max(0, a - 30) : a].lower())
-        if not any(e == a or not text[e:a].strip() for _, e, _ in taken) and (re.sub(r"\d+", "0", near[-1]) if near else "^") not in self.before[kind]:
+        if not any(e == a or not text[e:a].strip() for _, e, _ in taken) and _word_before(text, a) not in self.before.get(kind, ()):
             return False
         left, right = _around(text, a, b, taken)
         return max((own.get(p, 0.0) for p in patterns(left, right)), default=0.0) >= least
@@ -380,18 +389,103 @@ class Finder:
         return all(own.get(p, 0.0) >= 0.8 for p in patterns(left, right)[:2])
 
 
-def learn(texts: DataFrame, column: str) -> Finder:
-    """Bootstrap the patterns and name words from all texts (an action). What it collects has at least one in
-    MAX_ENTRIES of all links, and so at most so many entries."""
-    links = cut(link_graph(texts, column))
-    pats, inst = score(links)
-    least = (links.agg(F.sum("n")).first()[0] or 0) / MAX_ENTRIES
-    kept: dict[str, dict[str, float]] = {}
-    for r in pats.where(F.col("good") >= least).select("kind", "pattern", "share").toLocalIterator():
-        kept.setdefault(r.kind, {})[r.pattern] = r.share
+#: Kinds of entries of a model that are no patterns: name words, and the words before a pattern's instance by kind.
+NAME, BEFORE = "name", "before "
+
+
+class _Every:
+    """Holds every word."""
+
+    def __contains__(self, word: object) -> bool:
+        return True
+
+
+def lookups(text: str) -> set[tuple[str, str]]:
+    """(kind, entry) of all that a Finder can look up in a text, whatever was learned: what it finds first only takes
+    places away, and more name words only add spans."""
+    out = {(NAME, w) for w in (*_LETTERS.findall(text.lower()), *(w.lower() for w in _WORD.findall(text))) if len(w) > 2}
+    taken = spans_of_shape(text)
+
+    def context(kind: str, a: int, b: int) -> None:
+        out.add((BEFORE + kind, _word_before(text, a)))
+        out.update((kind, p) for p in patterns(*_around(text, a, b, taken)))
+
+    for m in ID_SHAPE.finditer(text) if _DIGITS.search(text) else ():
+        context("identity_no", *m.span())
+    for m in STREET_SEED.finditer(text) if _has_street(set(_LETTERS.findall(text.lower()))) else ():
+        context("street_address", *m.span())
+    for m in STREET_SHAPE.finditer(text) if _NUMBERED.search(text) else ():
+        if _street_case(m.group()):
+            context("street_address", *m.span())
+    for a, b, ws in name_spans(text, [], _Every()):
+        if len(ws) == 1 or _capital(text[a:b]):
+            context("person_name", a, b)
+    return out
+
+
+def learn_model(texts: DataFrame, column: str) -> DataFrame:
+    """(kind, entry, share): the patterns of each kind and the name words (kind NAME) that all texts teach, none left out;
+    written to the checkpoint folder (an action)."""
+    pats, inst = score(cut(link_graph(texts, column)))
     # A name word is met mostly in good contexts: words that also stand in many others drop out.
-    ws = inst.where((F.col("kind") == "person_name") & (F.col("n") >= F.greatest(F.lit(2.0), F.lit(least))) & (F.length("instance") > 2) & (lower_bound(F.col("n"), F.col("all")) >= NAME_SHARE))
-    return Finder(kept, frozenset(r.instance for r in ws.select("instance").toLocalIterator()))
+    ws = inst.where((F.col("kind") == "person_name") & (F.col("n") >= 2) & (F.length("instance") > 2) & (lower_bound(F.col("n"), F.col("all")) >= NAME_SHARE))
+    return cut(pats.select("kind", F.col("pattern").alias("entry"), "share").unionByName(ws.select(F.lit(NAME).alias("kind"), F.col("instance").alias("entry"), F.lit(1.0).alias("share"))))
+
+
+def _finder(entries: Iterable[tuple[str, str, float]]) -> Finder:
+    """The finder of a model's entries; with the words before instances among them, it tests by these."""
+    kept: dict[str, dict[str, float]] = {}
+    before: dict[str, set[str]] = {}
+    for kind, entry, share in entries:
+        if kind.startswith(BEFORE):
+            before.setdefault(kind[len(BEFORE) :], set()).add(entry)
+        else:
+            kept.setdefault(kind, {})[entry] = share
+    names = frozenset(kept.pop(NAME, ()))
+    return Finder(kept, names, before or None)
+
+
+def learn(texts: DataFrame, column: str) -> Finder:
+    """Bootstrap the patterns and name words from all texts and bring all of them to the driver (an action)."""
+    return _finder(learn_model(texts, column).toLocalIterator())
+
+
+def _apply(rows: DataFrame, finder: Finder | None, use: Callable[[pd.DataFrame, Finder], pd.DataFrame], schema: StructType) -> DataFrame:
+    """``use`` on all rows (checkpointed, with a text) with the finder, else with what they teach themselves: broadcast up
+    to MAX_ENTRIES entries, beyond that joined to the parts of the texts that can look them up."""
+    if finder is None:
+        model = learn_model(rows, "text")
+        if model.count() > MAX_ENTRIES:
+            return _apply_by_parts(rows, model, use, schema)
+        finder = _finder(model.toLocalIterator())
+    shared = rows.sparkSession.sparkContext.broadcast(finder)
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield use(b, shared.value)
+
+    return rows.mapInPandas(each, schema)
+
+
+def _apply_by_parts(rows: DataFrame, model: DataFrame, use: Callable[[pd.DataFrame, Finder], pd.DataFrame], schema: StructType) -> DataFrame:
+    """``use`` on the rows in parts, each with a finder of the entries that its texts can look up. No task holds the model."""
+    own = rows.columns
+    # The rows are checkpointed: their numbers are the same each time.
+    rows = rows.withColumn("part", F.shiftright(F.monotonically_increasing_id(), PART_BITS))
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for part, texts in b.groupby("part")["text"]:
+                asked = set().union(*(lookups(t) for t in texts if t))
+                yield pd.DataFrame([(part, *x) for x in asked], columns=["part", "kind", "entry"])
+
+    before = model.where(F.col("kind") != NAME).select(F.concat(F.lit(BEFORE), "kind").alias("kind"), F.element_at(F.split(F.substring_index("entry", "_", 1), " "), -1).alias("entry"), F.lit(1.0).alias("share")).distinct()
+    asked = rows.select("part", "text").mapInPandas(ask, "part bigint, kind string, entry string").distinct().join(model.unionByName(before), ["kind", "entry"])
+
+    def each(b: pd.DataFrame, entries: pd.DataFrame) -> pd.DataFrame:
+        return use(b[own], _finder(zip(entries["kind"], entries["entry"], entries["share"])))
+
+    return rows.groupBy("part").cogroup(asked.groupBy("part")).applyInPandas(each, schema)
 
 
 def find_mentions(rows: DataFrame, finder: Finder | None = None) -> DataFrame:
@@ -401,33 +495,28 @@ def find_mentions(rows: DataFrame, finder: Finder | None = None) -> DataFrame:
     so they are cut first.
     """
     rows = cut(rows.select("table_name", "record_id", "text").where(F.length("text") > 0))
-    shared = rows.sparkSession.sparkContext.broadcast(finder or learn(rows, "text"))
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for name, rid, t in zip(b["table_name"], b["record_id"], b["text"]):
-                for kind, s in dict.fromkeys((kind, t[s:e]) for s, e, kind in shared.value.find(t)):
-                    out.append((name, rid, kind, s))
-            yield pd.DataFrame(out, columns=["table_name", "record_id", "pii_type", "pii_text"])
+    def find(b: pd.DataFrame, finder: Finder) -> pd.DataFrame:
+        out = []
+        for name, rid, t in zip(b["table_name"], b["record_id"], b["text"]):
+            for kind, s in dict.fromkeys((kind, t[s:e]) for s, e, kind in finder.find(t)):
+                out.append((name, rid, kind, s))
+        return pd.DataFrame(out, columns=["table_name", "record_id", "pii_type", "pii_text"])
 
     schema = rows.select("table_name", "record_id").schema.add("pii_type", "string").add("pii_text", "string")
-    return rows.mapInPandas(find, schema)
+    return _apply(rows, finder, find, schema)
 
 
 def redact(rows: DataFrame, finder: Finder | None = None) -> DataFrame:
     """The rows with ``redacted``: every mention replaced by its placeholder, such as [EMAIL], all else unchanged.
     A null text stays null."""
     rows = cut(rows.select("table_name", "record_id", "text"))
-    shared = rows.sparkSession.sparkContext.broadcast(finder or learn(rows, "text"))
 
-    def replace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            b["redacted"] = [_replaced(t, shared.value) if t is not None else None for t in b["text"]]
-            yield b
+    def replace(b: pd.DataFrame, finder: Finder) -> pd.DataFrame:
+        return b.assign(redacted=[_replaced(t, finder) if t is not None else None for t in b["text"]])
 
     schema = rows.select("table_name", "record_id", "text").schema.add("redacted", "string")
-    return rows.mapInPandas(replace, schema)
+    return _apply(rows, finder, replace, schema)
 
 
 def _replaced(text: str, finder: Finder) -> str:

@@ -81,3 +81,28 @@ def test_texts_without_a_sign_give_no_links():
     rows, _ = corpus()
     sign = re.compile(pii.SIGN)
     assert all(not list(pii.candidates(t)) for _, _, t in rows if t and not sign.search(t))
+
+
+def test_a_model_of_any_size_finds_the_same(spark, monkeypatch):
+    """Nothing learned is left out of a model that is too large to be broadcast, and parts with what they can look up find
+    the same as the whole."""
+    rows, want = corpus()
+    rnd = random.Random(5)
+    rows += [("t", 10_000 + i, f"{rnd.choice(GIVEN).upper()} {rnd.choice(FAMILY)[0]}. told O'{rnd.choice(FAMILY)}, {rnd.choice(GIVEN)} A. {rnd.choice(FAMILY)} and C. {rnd.choice(FAMILY).lower()} at {rnd.randrange(9)} Moss Lane" + " " * rnd.randrange(40) + f"Badge {rnd.randrange(10**6, 10**7)}.") for i in range(200)]
+    df = spark.createDataFrame(rows, "table_name string, record_id bigint, text string").repartition(3, "record_id")
+    found = lambda: sorted(tuple(r) for r in pii.find_mentions(df).collect())
+    hidden = lambda: sorted((r.record_id, r.redacted or "") for r in pii.redact(df).collect())
+    whole, clean = found(), hidden()
+    monkeypatch.setattr(pii, "MAX_ENTRIES", 10)
+    monkeypatch.setattr(pii, "PART_BITS", 5, raising=False)
+    assert found() == whole and hidden() == clean
+    assert {(i, k, s) for _, i, k, s in whole if k != "phone" and i < 10_000} >= want
+
+
+def test_more_texts_take_no_pattern_away(spark, monkeypatch):
+    """Texts told again teach the same: the graph's counts grow, and the model stays."""
+    rows, _ = corpus()
+    df = spark.createDataFrame([r for r in rows if r[2]], "table_name string, record_id bigint, text string")
+    monkeypatch.setattr(pii, "MAX_ENTRIES", 1000)
+    once, often = (pii.learn(x, "text") for x in (df, df.crossJoin(spark.range(40)).drop("id")))
+    assert once.names == often.names and once.pats == often.pats
