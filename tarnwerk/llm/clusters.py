@@ -25,12 +25,11 @@ from tarnwerk.operators.lineage import cut
 
 #: A whole sentence in this share of all cards, beside others, is a closing remark.
 CLOSER_SHARE = 0.01
-#: A phrase that has more partners than this in effect meets everything alike and is described by nothing.
+#: A phrase that has more partners than this in effect, and as many beside each single partner of the third slot, meets
+#: everything alike: nothing describes it, and it is a kind of its own.
 PARTNERS = 16.0
 #: Rounds in which kinds are formed, each with the kinds of the one before as partners.
 ROUNDS = 4
-#: Slips and remarks that the reader holds are at least one in so many of all words or sentences: so there are at most so many.
-RAREST = 1_000_000
 #: A word is a slip of another one with the same letters that is so many times as frequent.
 SLIP_RATIO = 10
 DIM = 32
@@ -165,8 +164,8 @@ def _tally(df: DataFrame, emit, keys: str) -> DataFrame:
 
 def learn_reader(cards: DataFrame, text: str) -> Reader:
     """Closing remarks, slips of the pen and the phrases of the slots, by counts over all cards (actions). The
-    reader holds all phrases of equipment and place that two hints support; other results are bounded by their share of
-    the corpus."""
+    reader holds all phrases of equipment and place that two hints support and all slips, of which a word of k letters has
+    at most k - 1; closing remarks are bounded by their share of the corpus."""
     texts = cards.select(F.col(text).alias("t")).where(F.length("t") > 0)
     total = texts.count()
     spark = cards.sparkSession
@@ -184,9 +183,8 @@ def learn_reader(cards: DataFrame, text: str) -> Reader:
     closers = {signature(r.item) for r in often.where((F.col("n") >= max(3, CLOSER_SHARE * total)) & (F.col("alone") <= 0.1 * F.col("n"))).select("item").collect()}
     # A slip has the letters of a far more frequent word: of each set of letters the most frequent word is joined back.
     vocabulary = counts.where((F.col("kind") == "w") & (F.length("item") > 3)).select("item", "n", F.array_join(F.array_sort(F.split("item", "")), "").alias("letters"))
-    least = (vocabulary.agg(F.sum("n")).first()[0] or 0) / RAREST
     most = vocabulary.groupBy("letters").agg(F.max(F.struct("n", "item")).alias("best"), F.count(F.lit(1)).alias("forms")).where(F.col("forms") > 1)
-    near = vocabulary.join(most, "letters").where((F.col("item") != F.col("best.item")) & (F.col("n") * SLIP_RATIO <= F.col("best.n")) & (F.col("n") >= least))
+    near = vocabulary.join(most, "letters").where((F.col("item") != F.col("best.item")) & (F.col("n") * SLIP_RATIO <= F.col("best.n")))
     slips = {r.item: r.best for r in near.select("item", F.col("best.item").alias("best")).toLocalIterator() if swapped(r.item, r.best)}
     first = Reader(frozenset(closers), slips)
     shared = spark.sparkContext.broadcast(first)
@@ -206,21 +204,24 @@ def swapped(a: str, b: str) -> bool:
 
 
 def learn_kinds(pairs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(slot, phrase, kind) of each phrase, from counts of pairs (slot_a, a, slot_b, b, n).
+    """(slot, phrase, kind) of each phrase, from counts of pairs (slot_a, a, slot_b, b, n), by the phrase c of the third slot
+    if there is such a column.
 
     A phrase is described by how often it meets the kinds of the two other slots: the square roots of its shares, so
     that the distance of two phrases tells how much of their partners they share, projected to SHARE_DIM positions
     each. Bisecting k-means over these vectors makes the kinds of every slot; as kinds form, descriptions become sharper in the next round. A phrase that is rare or not concentrated is a kind of its own.
-    A kind is named by its first phrase. Actions: two checkpoints per round and a count of the kinds.
+    A kind is named by its first phrase. Actions: three checkpoints per round and a count of the kinds.
     """
     ways = [F.struct(F.col(p).alias("s"), F.col(x).alias("x"), F.col(q).alias("o"), F.col(y).alias("y")) for p, x, q, y in (("slot_a", "a", "slot_b", "b"), ("slot_b", "b", "slot_a", "a"))]
-    met = cut(pairs.select("n", F.inline(F.array(*ways))))
+    third = F.array_except(F.array(*map(F.lit, SLOTS)), F.array("s", "o"))[0]
+    met = cut(pairs.select("n", F.col("c") if "c" in pairs.columns else F.lit("").alias("c"), F.inline(F.array(*ways))).withColumn("q", third))
     kinds = met.select("s", "x", F.col("x").alias("kind")).distinct()
     before = None
     for r in range(rounds):
         partners = kinds.select(F.col("s").alias("o"), F.col("x").alias("y"), F.col("kind").alias("z"))
-        rows = met.join(kinds, ["s", "x"]).join(partners, ["o", "y"]).groupBy("s", "kind", "o", "z").agg(F.sum("n").alias("n"))
-        leaves = bisect(cut(_described(rows, str(r))), ("s", "kind"), KIND_RADIUS, "s")
+        thirds = kinds.select(F.col("s").alias("q"), F.col("x").alias("c"), F.col("kind").alias("k"))
+        rows = met.join(kinds, ["s", "x"]).join(partners, ["o", "y"]).join(thirds, ["q", "c"], "left").groupBy("s", "kind", "o", "z", F.coalesce("k", "c").alias("k")).agg(F.sum("n").alias("n"))
+        leaves = bisect(cut(_described(cut(rows), str(r))), ("s", "kind"), KIND_RADIUS, "s")
         to = leaves.withColumn("to", F.min("kind").over(Window.partitionBy("leaf"))).select("s", "kind", "to")
         kinds = cut(kinds.join(to, ["s", "kind"], "left").select("s", "x", F.coalesce("to", "kind").alias("kind")))
         now = kinds.select("s", "kind").distinct().count()
@@ -230,10 +231,23 @@ def learn_kinds(pairs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return kinds.select(F.col("s").alias("slot"), F.col("x").alias("phrase"), "kind")
 
 
-def _described(rows: DataFrame, salt: str) -> DataFrame:
-    """(s, kind, n, v): the vectors of the kinds of slots s that are frequent and concentrated, from (s, kind, o, z, n)."""
+def _told(cells: DataFrame) -> DataFrame:
+    """(s, kind, o) of the views in which two cards of a kind that agree in the third slot agree in slot o with a chance of 1
+    in PARTNERS or more, from (s, kind, o, z, k, n) with the kind k of the third slot. However many partners such a kind
+    has, it does not meet them all alike. The share of agreeing pairs does not depend on the number of cards."""
+    n = F.col("n").cast("double")
+    by_third = cells.where("k != ''").groupBy("s", "kind", "o", "k").agg(F.sum(n).alias("t"), F.sum(n * (n - 1)).alias("equal"))
+    agree = by_third.groupBy("s", "kind", "o").agg(F.sum(F.col("t") * (F.col("t") - 1)).alias("pairs"), F.sum("equal").alias("equal"))
+    return agree.where((F.col("equal") > 0) & (F.col("pairs") <= PARTNERS * F.col("equal"))).select("s", "kind", "o", F.lit(True).alias("told"))
+
+
+def _described(cells: DataFrame, salt: str) -> DataFrame:
+    """(s, kind, n, v): the vectors of the kinds of slots s that are frequent and concentrated, in effect or beside each
+    partner of the third slot, from (s, kind, o, z, k, n)."""
     t = F.sum("n")
-    view = rows.groupBy("s", "kind", "o").agg(t.alias("t"), F.exp(F.log(t) - F.sum(F.col("n") * F.log("n")) / t).alias("effect")).where(F.col("effect") <= PARTNERS + 1e-9)
+    rows = cells.groupBy("s", "kind", "o", "z").agg(t.alias("n"))
+    view = rows.groupBy("s", "kind", "o").agg(t.alias("t"), F.exp(F.log(t) - F.sum(F.col("n") * F.log("n")) / t).alias("effect"))
+    view = view.join(_told(cells), ["s", "kind", "o"], "left").where((F.col("effect") <= PARTNERS + 1e-9) | F.col("told"))
     of_first = F.when(F.col("o") == F.when(F.col("s") == SLOTS[0], SLOTS[1]).otherwise(SLOTS[0]), F.col("t"))
     fit = view.groupBy("s", "kind").agg(F.count(F.lit(1)).alias("views"), F.sum(of_first).alias("first")).where((F.col("views") == len(SLOTS) - 1) & (F.col("first") >= 3))
 
@@ -416,8 +430,8 @@ def cluster_cards(cards: DataFrame, key: str, text: str) -> DataFrame:
     schema = cards.select(key).schema.add("equipment", "string").add("place", "string").add("fault", "string")
     phrases = cards.select(key, F.col(text).alias("t")).where(F.length(F.trim("t")) > 0).mapInPandas(read, schema).where("equipment != '' or place != '' or fault != ''")
     triples = cut(phrases.groupBy(*SLOTS).agg(F.count(F.lit(1)).alias("n")))
-    two = [F.struct(F.lit(a).alias("slot_a"), F.col(a).alias("a"), F.lit(b).alias("slot_b"), F.col(b).alias("b")) for a, b in (("equipment", "place"), ("equipment", "fault"), ("place", "fault"))]
-    pairs = cut(triples.select("n", F.inline(F.array(*two))).where("a != '' and b != ''").groupBy("slot_a", "a", "slot_b", "b").agg(F.sum("n").alias("n")))
+    two = [F.struct(F.lit(a).alias("slot_a"), F.col(a).alias("a"), F.lit(b).alias("slot_b"), F.col(b).alias("b"), F.col(c).alias("c")) for a, b, c in (SLOTS, ("equipment", "fault", "place"), ("place", "fault", "equipment"))]
+    pairs = cut(triples.select("n", F.inline(F.array(*two))).where("a != '' and b != ''"))
     # Without known equipment a fault is a whole story and has no kind: only phrases met beside equipment count.
     beside, rest = pairs.where("slot_a = 'equipment'"), pairs.where("slot_a = 'place'")
     for side, slot in (("a", "place"), ("b", "fault")):

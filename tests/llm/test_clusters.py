@@ -111,3 +111,35 @@ def test_kinds_are_learned_from_all_phrases(spark, monkeypatch):
 
 def test_slips():
     assert clusters.swapped("dokc", "dock") and not clusters.swapped("dock", "deck")
+
+
+def test_a_rare_slip_is_read_in_a_large_corpus(spark):
+    # One slip among 1.2 million words: its card belongs to the happening as it does among a few.
+    card = "Roll door: north dock, boiler beside stone passage rattled badly"
+    rows = spark.range(120_000).selectExpr("id as incident_id", f"'{card}' as text").union(spark.createDataFrame([(200_000, card.replace("rattled", "ratlted"))], "incident_id bigint, text string"))
+    reader = clusters.learn_reader(rows, "text")
+    assert reader.slips == {"ratlted": "rattled"}
+    got = clusters.happenings(rows, "incident_id", "text")
+    assert got.where("incident_id = 200000").select("group_size", "first_id").collect() == [(120_001, 0)]
+
+
+def test_equipment_with_many_places_and_faults_has_a_kind(spark):
+    # Ten kinds of equipment in two wordings, each with 20 happenings of its own at 20 places: 20 partners are no reason
+    # to leave a phrase alone. One-off cards of another device meet everything alike: its places and faults stay apart.
+    rnd = random.Random(4)
+    word = lambda a, i: a + "bcdfgklmnprs"[i % 12] + "aeiou"[i // 12] + "x"
+    told = [(e, p, f) for e in range(10) for p, f in zip(rnd.sample(range(60), 20), rnd.sample(range(60), 20))]
+    rows, truth = [], {}
+    for e, p, f in told:
+        for _ in range(24):
+            unit, place, fault = (f"{word(rnd.choice(w), i)} {n}" for w, i, n in (("st", e, "unit"), ("vw", p, "room"), ("hj", f, "broke")))
+            truth[len(rows)] = (e, p, f)
+            rows.append((len(rows), f"{place}: {unit} {fault} | {unit}"))
+    once = len(rows)
+    rows += [(once + i, f"odd{word('k', i % 20)} yard: spare gadget {word('q', i % 31)} {word('z', i % 37)} | spare gadget") for i in range(600)]
+    got = {r.incident_id: r.first_id for r in clusters.happenings(spark.createDataFrame(rows, "incident_id bigint, text string"), "incident_id", "text").collect()}
+    first = {}
+    for i, k in truth.items():
+        first.setdefault(k, i)
+    assert {i: f for i, f in got.items() if i < once} == {i: first[k] for i, k in truth.items()}
+    assert not [i for i in got if i >= once]
