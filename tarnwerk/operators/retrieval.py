@@ -230,10 +230,9 @@ def search(mode: str, lexical, dense, keys: Sequence[str], top: int, pool: int =
 
 
 def fuse(a: DataFrame, b: DataFrame, keys: Sequence[str], k: int, top: int, group: str = "query_id") -> DataFrame:
-    """Reciprocal-rank fusion of two ranked lists: the sum of 1 / (k + rank) over the lists a row is in."""
-    both = a.select(*keys, F.col("rank_no").alias("rank_a")).join(b.select(*keys, F.col("rank_no").alias("rank_b")), list(keys), "full")
-    part = lambda c: F.coalesce(F.lit(1.0) / (k + F.col(c)), F.lit(0.0))
-    scored = both.withColumn("fused", F.round(part("rank_a") + part("rank_b"), 9))
+    """Reciprocal-rank fusion of two ranked lists: the sum of 1 / (k + rank) over the places a row has in the lists."""
+    both = a.select(*keys, "rank_no").unionByName(b.select(*keys, "rank_no"))
+    scored = both.groupBy(*keys).agg(F.round(F.sum(F.lit(1.0) / (k + F.col("rank_no"))), 9).alias("fused"))
     return top_per_group(scored, [group], [F.desc("fused"), *[c for c in keys if c != group]], top)
 
 

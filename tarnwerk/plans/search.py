@@ -5,6 +5,7 @@ Searches take every row whose id is divisible by 100 as a query, against all row
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tarnwerk.operators import learning, metrics, retrieval
@@ -104,10 +105,12 @@ _L2 = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER B
 
 @R.add(_BM25 + ", near AS (SELECT * FROM (SELECT a.doc_id AS query_id, b.doc_id, row_number() OVER (PARTITION BY a.doc_id ORDER BY abs(a.n_chars - b.n_chars), b.doc_id)::int AS rank_no FROM documents a JOIN documents b ON a.doc_id <> b.doc_id AND a.doc_id % 100 = 0 AND abs(a.n_chars - b.n_chars) <= 5) WHERE rank_no <= 10)" + f"SELECT query_id, doc_id, fused FROM ({_L2})")
 def tx10_rank_fusion(t):
-    """BM25 fused with a second ranking, by nearness in length within five characters."""
+    """BM25 fused with a second ranking, by nearness in length within five characters. Of the documents of one length only
+    those of the eleven smallest ids can be among a query's ten nearest others."""
     docs = t("documents").select("doc_id", "n_chars")
+    first = docs.where("doc_id is not null").withColumn("_r", F.dense_rank().over(Window.partitionBy("n_chars").orderBy("doc_id"))).where("_r <= 11").drop("_r")
     q = docs.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), F.explode(F.sequence(F.col("n_chars") - 5, F.col("n_chars") + 5)).alias("n_chars"), F.col("n_chars").alias("len"))
-    near = q.join(docs, "n_chars").where("query_id <> doc_id").withColumn("far", F.abs(F.col("n_chars") - F.col("len")))
+    near = q.join(first, "n_chars").where("query_id <> doc_id").withColumn("far", F.abs(F.col("n_chars") - F.col("len")))
     near = top_per_group(near, ["query_id"], ["far", "doc_id"], 10)
     return retrieval.fuse(bm25(t), near, ["query_id", "doc_id"], 60, 10).select("query_id", "doc_id", "fused")
 

@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__
 from tarnwerk.operators import retrieval
 from tarnwerk.operators.topk import bags, best_by_terms
 
@@ -74,9 +77,25 @@ def test_bm25_of_no_documents(spark):
     assert retrieval.bm25_bags(retrieval.term_bags(none, "doc_id", "text"), F.col("doc_id") % 2 == 0, "doc_id", 3).count() == 0
 
 
-def test_bm25_makes_no_row_per_query_document_and_term(spark):
+@pytest.mark.parametrize("name", ["tx8_bm25", "tx10_rank_fusion"])
+def test_bm25_makes_no_row_per_query_document_and_term(spark, name):
     """The join of queries and postings grew with the square of the documents."""
-    import __spark_entry__
+    plan = __spark_entry__.queries()[name](spark, __spark_entry__.SMALLEST)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and not re.search(r"Join.*\bterm#", plan)
 
-    plan = __spark_entry__.queries()["tx8_bm25"](spark, __spark_entry__.SMALLEST)._jdf.queryExecution().toString()
-    assert "MapInArrow" in plan and "Join" not in plan
+
+def _sql(name, folder):
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+    return con.sql(f"SELECT * FROM ({__spark_entry__.oracle_sql()[name]})").fetchall()
+
+
+def test_fusion_equals_sql_with_equal_lengths_and_no_ids(spark, tmp_path):
+    """Most documents have one length, so the nearest are those of the smallest ids; some have no id or no length."""
+    rnd = random.Random(8)
+    text = lambda: " ".join(rnd.choice("ramp belt crane hook valve dust".split()) for _ in range(5))
+    rows = [(i if i % 37 else None, text(), rnd.choice([30, 30, 30, 31, 36, None])) for i in range(1, 700)] + [(200, text(), 30), (300, text(), 29)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint").write.parquet(str(tmp_path / "documents.parquet"))
+    got = __spark_entry__.queries()["tx10_rank_fusion"](spark, str(tmp_path)).select("query_id", "doc_id", "fused").collect()
+    plain = lambda x: sorted((q, d, round(f, 9)) for q, d, f in x)
+    assert plain(got) == plain(_sql("tx10_rank_fusion", tmp_path)) and got
