@@ -29,6 +29,12 @@ def id_number(c: Column) -> Column:
     return norm_id(c).try_cast("bigint")
 
 
+def rounded(c: Column, places: int) -> Column:
+    """A double rounded by its product with a power of ten, as databases do; ``F.round`` goes by its shortest decimal
+    text, which differs where that ends in a half, as of numbers rounded before."""
+    return F.round(c * 10.0**places) / 10.0**places
+
+
 def truthy(c: Column, words: Iterable[str] = TRUTHY) -> Column:
     """Two-valued truth of a text or boolean; null and everything else is false."""
     return F.coalesce(F.lower(F.trim(c.cast("string"))).isin(*words), F.lit(False))

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tarnwerk.functions.scalars import rounded
 from tarnwerk.operators import learning, metrics, retrieval
 from tarnwerk.operators.windows import top_per_group
 from tarnwerk.plans._register import Register
@@ -73,7 +74,7 @@ def bm25(t, k: int = 10):
 
 @R.add(_BM25 + "SELECT query_id, doc_id, round(score, 3) AS score FROM bm")
 def tx8_bm25(t):
-    return bm25(t).select("query_id", "doc_id", F.round("score", 3).alias("score"))
+    return bm25(t).select("query_id", "doc_id", rounded(F.col("score"), 3).alias("score"))
 
 
 _KNN = """

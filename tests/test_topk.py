@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
-from tarnwerk.operators import retrieval
+from tarnwerk.functions.scalars import rounded
+from tarnwerk.operators import calibration, retrieval
 from tarnwerk.operators.topk import bags, best_by_terms
 
 
@@ -99,3 +100,66 @@ def test_fusion_equals_sql_with_equal_lengths_and_no_ids(spark, tmp_path):
     got = __spark_entry__.queries()["tx10_rank_fusion"](spark, str(tmp_path)).select("query_id", "doc_id", "fused").collect()
     plain = lambda x: sorted((q, d, round(f, 9)) for q, d, f in x)
     assert plain(got) == plain(_sql("tx10_rank_fusion", tmp_path)) and got
+
+
+@pytest.mark.parametrize("max_terms", [0, 1_000])
+def test_nearest_texts_equal_the_join_of_all_weights(spark, small_batches, max_terms):
+    """With idf broadcast or joined by shuffle: no row per query, document and term, and the scores of the join of them all."""
+    _, docs = _texts(spark)
+    w = retrieval.tf_idf(retrieval.term_counts(docs, "doc_id", "text"), "doc_id", docs.count())
+    of = {}
+    for r in w.where("doc_id is not null").collect():
+        of.setdefault(r.doc_id, {})[r.term] = r.weight
+    want = _brute(of, {d: of[d] for d in of if d % 50 == 7}, 5)
+    v = retrieval.TermVectors(docs, "doc_id", "text", max_terms=max_terms)
+    queries = docs.where("doc_id % 50 = 7").select(F.col("doc_id").alias("query_id"))
+    near = v.nearest(queries, 5)
+    assert not re.search(r"Join.*\bterm#", near._jdf.queryExecution().toString())
+    for x in (near, calibration.nearest_by_terms(w, queries.distinct(), "doc_id", 5)):
+        assert {(r.query_id, r.doc_id, r.rank_no) for r in x.collect()} == {(q, d, n) for q, d, _, n in want}
+    got = {(r.doc_id, r.term): r.weight for r in v.weights(docs.where("doc_id < 60")).collect()}
+    assert got == pytest.approx({(d, t): x for d, ws in of.items() if d < 60 for t, x in ws.items()})
+
+
+def test_rounded_again_like_sql(spark):
+    """0.526565 lies below its half in binary, 0.5 does not."""
+    values = [0.526565, 0.508925, 0.556765, 2.5, -2.5, 0.1234565]
+    want = duckdb.sql("SELECT round(x, 5) FROM (SELECT unnest([" + ", ".join(f"{v}::double" for v in values) + "]) AS x)").fetchall()
+    got = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", rounded(F.col("v"), 5).alias("r")).orderBy("i").collect()
+    assert [r.r for r in got] == [r[0] for r in want]
+
+
+MATCHED = ["tx11_merged"]
+
+
+@pytest.fixture(scope="module")
+def odd_documents(spark, tmp_path_factory):
+    """Equal texts, texts of one common term, none at all and null facts."""
+    rnd, folder = random.Random(9), tmp_path_factory.mktemp("odd")
+    words = "ramp belt crane hook valve dust oil floor hatch rope chain drum".split()
+    texts = ["crane hook"] * 5 + ["", None, "a"] + [" ".join(rnd.choice(words) for _ in range(rnd.randrange(1, 50))) for _ in range(90)]
+    rows = []
+    for i in range(1, 900):
+        x = rnd.choice(texts)
+        rows.append((i, x and f"crane {x}", rnd.choice(["en", "de", None]), rnd.choice(["a", "b", " "]), rnd.choice([None, 150, 400, 700]), rnd.choice([None, 1, 2])))
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint, location_id bigint").write.parquet(str(folder / "documents.parquet"))
+    return folder
+
+
+@pytest.mark.parametrize("name", MATCHED)
+def test_matches_make_no_row_per_query_document_and_term(spark, odd_documents, name):
+    """None of the plans that ran sets queries against documents by a join; the result is that of SQL."""
+    bus, store = spark.sparkContext._jsc.sc().listenerBus(), spark._jsparkSession.sharedState().statusStore()
+    bus.waitUntilEmpty(30_000)
+    had = store.executionsCount()
+    df = __spark_entry__.queries()[name](spark, str(odd_documents))
+    plain = lambda rows: sorted((tuple(round(v, 4) if isinstance(v, float) else v for v in r) for r in rows), key=repr)
+    got = plain(df.collect())
+    bus.waitUntilEmpty(30_000)
+    ran = store.executionsList()
+    plans = [ran.apply(i).physicalPlanDescription() for i in range(had, ran.size())]
+    assert plans and not [p for p in plans if re.search(r"NOT \(query_id#\w+ = doc_id#", p)]
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{odd_documents}/documents.parquet/*.parquet'")
+    want = con.sql(__spark_entry__.oracle_sql()[name])
+    assert got == plain(con.sql(f"SELECT {', '.join(df.columns)} FROM want").fetchall()) and got
