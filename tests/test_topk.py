@@ -129,7 +129,7 @@ def test_rounded_again_like_sql(spark):
     assert [r.r for r in got] == [r[0] for r in want]
 
 
-MATCHED = ["tx11_merged", "ag35_match_metrics", "tx13_thresholds", "wn19_reranked", "tx12_banded_matches"]
+MATCHED = ["tx11_merged", "ag35_match_metrics", "tx13_thresholds", "wn19_reranked", "tx12_banded_matches", "tx6_keyphrases"]
 
 
 @pytest.fixture(scope="module")
